@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from docaudit.llm import encoding, packing, quality
+from docaudit.llm import encoding, language, packing, quality
 
 
 def queries():
-    return {"p6_ids": encoding.p6_ids, "p7_containers": packing.p7_containers, "p8_statistics": quality.p8_statistics, "p8_found": quality.p8_found}
+    return {"p1_segments": language.p1_segments, "p1_found": language.p1_found, "p6_ids": encoding.p6_ids, "p7_containers": packing.p7_containers, "p8_statistics": quality.p8_statistics, "p8_found": quality.p8_found}
 
 
 def oracle_sql():
