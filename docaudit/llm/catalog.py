@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from docaudit.llm import encoding, language, packing, quality, splitting
+from docaudit.llm import encoding, language, names, packing, quality, splitting
 
 
 def queries():
-    return {"p1_segments": language.p1_segments, "p1_found": language.p1_found, "p5_found": splitting.p5_found, "p6_ids": encoding.p6_ids, "p7_containers": packing.p7_containers, "p8_statistics": quality.p8_statistics, "p8_found": quality.p8_found}
+    return {"p1_segments": language.p1_segments, "p1_found": language.p1_found, "p2_institutions": names.p2_institutions, "p2_found": names.p2_found, "p5_found": splitting.p5_found, "p6_ids": encoding.p6_ids, "p7_containers": packing.p7_containers, "p8_statistics": quality.p8_statistics, "p8_found": quality.p8_found}
 
 
 def oracle_sql():
