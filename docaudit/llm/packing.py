@@ -107,12 +107,13 @@ def pack(sizes: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
     return where
 
 
-def pack_items(sizes: DataFrame, key: str = "doc_id", size: str = "n_tokens", capacity: int = CAPACITY, shard_items: int = SHARD_ITEMS) -> DataFrame:
+def pack_items(sizes: DataFrame, key: str = "doc_id", size: str = "n_tokens", capacity: int = CAPACITY, shard_items: int = SHARD_ITEMS, counted: DataFrame | None = None) -> DataFrame:
     """Containers of items: ``key, piece_no int, start_token bigint, n_tokens bigint, container_id bigint``.
 
     ``sizes`` has a row per item. Null sizes count as 0; items of size 0 go into a container
     that exists. An item larger than ``capacity`` alone is split: full pieces have containers
     of their own, what is left is packed like an item. Repeated keys count like all other rows.
+    ``counted`` may be another frame of as many rows that is cheaper to count.
     """
     n = F.greatest(F.coalesce(F.col(size).cast("long"), F.lit(0)), F.lit(0))
     cap = F.lit(capacity).cast("long")
@@ -120,7 +121,7 @@ def pack_items(sizes: DataFrame, key: str = "doc_id", size: str = "n_tokens", ca
     pieces = sizes.select(F.col(key).alias("key"), n.alias("n"), F.explode(F.sequence(F.lit(0).cast("long"), last, cap)).alias("start_token")).select(
         "key", (F.col("start_token") / capacity + 1).cast("int").alias("piece_no"), "start_token", F.least(F.col("n") - F.col("start_token"), cap).alias("n_tokens")
     )
-    items = sizes.select(F.count("*").alias("items"))
+    items = (sizes if counted is None else counted).select(F.count("*").alias("items"))
     shards = F.greatest(F.lit(1), F.ceil(F.col("items") / shard_items))
     sharded = pieces.crossJoin(F.broadcast(items)).select(  # a single row: the number of items
         "key", "piece_no", "start_token", "n_tokens", F.pmod(F.xxhash64("key"), shards).cast("long").alias("shard")
@@ -141,7 +142,7 @@ def pack_items(sizes: DataFrame, key: str = "doc_id", size: str = "n_tokens", ca
 
 def pack_documents(documents: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, shard_items: int = SHARD_ITEMS, vocabulary: str = DEFAULT_VOCABULARY) -> DataFrame:
     """``pack_items`` over the token counts of texts; null and empty texts have size 0."""
-    return pack_items(count_tokens(documents.select(key, text), text, "n_tokens", vocabulary), key, "n_tokens", capacity, shard_items)
+    return pack_items(count_tokens(documents.select(key, text), text, "n_tokens", vocabulary), key, "n_tokens", capacity, shard_items, documents)
 
 
 def p7_containers(spark, folder: str) -> DataFrame:
