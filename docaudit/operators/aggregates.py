@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from docaudit.functions.numbers import half_up
+
 UNKNOWN = "unknown"
 
 
@@ -29,11 +31,11 @@ def layered_summary(rows: DataFrame, fields: list[str], score: str, passed: str)
     long = rows.select(keys.alias("k"), F.col(score).cast("double").alias("s"), F.coalesce(F.col(passed), F.lit(False)).cast("int").alias("p"))
     return long.groupBy("k.field", "k.value").agg(
         F.count("*").alias("n"),
-        F.round(F.avg("s"), 2).alias("avg_score"),
+        half_up(F.avg("s"), 2).alias("avg_score"),
         F.min("s").alias("min_score"),
         F.max("s").alias("max_score"),
         F.sum("p").alias("passed"),
-        F.round(F.sum("p") / F.count("*"), 3).alias("pass_rate"),
+        half_up(F.sum("p") / F.count("*"), 3).alias("pass_rate"),
     )
 
 
@@ -42,7 +44,7 @@ def distributions(rows: DataFrame, fields: list[str]) -> DataFrame:
     keys = F.explode(F.array(*(F.struct(F.lit(f).alias("field"), named(f).alias("value")) for f in fields)))
     counts = rows.select(keys.alias("k")).groupBy("k.field", "k.value").agg(F.count("*").alias("n"))
     total = F.sum("n").over(Window.partitionBy("field"))
-    return counts.withColumn("share", F.round(100.0 * F.col("n") / total, 2))
+    return counts.withColumn("share", half_up(100.0 * F.col("n") / total, 2))
 
 
 def array_histogram(rows: DataFrame, arrays: list[str]) -> DataFrame:
@@ -57,14 +59,14 @@ def array_histogram(rows: DataFrame, arrays: list[str]) -> DataFrame:
 def statistics(rows: DataFrame, column: str, by: list[str] | None = None) -> DataFrame:
     """``n, min, mean, median, max`` of a column, the median exact; nulls do not count, an empty column has null."""
     x = F.col(column).cast("double")
-    return rows.groupBy(*(by or [])).agg(F.count(x).alias("n"), F.min(x).alias("min"), F.round(F.avg(x), 2).alias("mean"), F.round(F.median(x), 2).alias("median"), F.max(x).alias("max"))
+    return rows.groupBy(*(by or [])).agg(F.count(x).alias("n"), F.min(x).alias("min"), half_up(F.avg(x), 2).alias("mean"), half_up(F.median(x), 2).alias("median"), F.max(x).alias("max"))
 
 
 def usage_by(rows: DataFrame, by: str, tokens: list[str], attempts: str | None = None, error: str | None = None) -> DataFrame:
     """Calls, sums and averages of token columns, repeated attempts and errors by a key."""
     aggregates = [F.count("*").alias("calls")]
     for t in tokens:
-        aggregates += [F.round(F.sum(F.col(t).cast("double")), 2).alias(f"sum_{t}"), F.round(F.avg(F.col(t).cast("double")), 2).alias(f"avg_{t}")]
+        aggregates += [half_up(F.sum(F.col(t).cast("double")), 2).alias(f"sum_{t}"), half_up(F.avg(F.col(t).cast("double")), 2).alias(f"avg_{t}")]
     if attempts:
         aggregates.append(F.sum(F.greatest(F.lit(0), F.coalesce(F.col(attempts), F.lit(0)) - 1)).alias("retries"))
     if error:
@@ -102,13 +104,13 @@ def worst_blend(rows: DataFrame, by: list[str], score: str, k: int = 3, mean_wei
     x = F.col(score).cast("double")
     ranked = rows.where(x.isNotNull()).withColumn("__rn", F.row_number().over(Window.partitionBy(*by).orderBy(x)))
     agg = ranked.groupBy(*by).agg(F.count("*").alias("n"), F.avg(x).alias("__m"), F.avg(F.when(F.col("__rn") <= k, x)).alias("__w"))
-    return agg.select(*by, "n", F.round("__m", 4).alias("mean_score"), F.round("__w", 4).alias("worst_mean"), F.round(mean_weight * F.col("__m") + (1 - mean_weight) * F.col("__w"), 4).alias("blended"))
+    return agg.select(*by, "n", half_up(F.col("__m"), 4).alias("mean_score"), half_up(F.col("__w"), 4).alias("worst_mean"), half_up(mean_weight * F.col("__m") + (1 - mean_weight) * F.col("__w"), 4).alias("blended"))
 
 
 def checklist_scores(items: DataFrame, key: list[str], item: str, group: str, value: str, ordinal: str) -> DataFrame:
     """Mean score of each group of checklist items; of an item given twice the last counts, null (not applicable) does not."""
     last = items.groupBy(*key, group, item).agg(F.max_by(value, ordinal).alias("__v"))
-    return last.groupBy(*key, group).agg(F.round(F.avg("__v"), 4).alias("score"), F.count("__v").alias("items"))
+    return last.groupBy(*key, group).agg(half_up(F.avg("__v"), 4).alias("score"), F.count("__v").alias("items"))
 
 
 def box_union(rows: DataFrame, by: list[str], box: str) -> DataFrame:
@@ -132,7 +134,7 @@ def completion(rows: DataFrame, status: str, failed: list[Column], seconds: str
         bad = bad | F.coalesce(f, F.lit(False))
     out = [F.count("*").alias("total"), F.count_if(~bad).alias("completed"), F.count_if(bad).alias("failures")]
     if seconds:
-        out += [F.round(F.sum(seconds), 2).alias("total_seconds"), F.max(seconds).alias("max_seconds")]
+        out += [half_up(F.sum(seconds), 2).alias("total_seconds"), F.max(seconds).alias("max_seconds")]
     return rows.agg(*out)
 
 

@@ -9,7 +9,7 @@ from docaudit.functions import numbers as N
 from docaudit.functions import text as X
 
 #: Weights of the parts of a retrieval score (fixed values).
-RETRIEVAL_WEIGHTS = {"token_overlap": 0.55, "number_similarity": 0.25, "hint_overlap": 0.15, "date_similarity": 0.05}
+RETRIEVAL_WEIGHTS = {"token_overlap": 0.50, "number_similarity": 0.35, "hint_overlap": 0.10, "date_similarity": 0.05}
 
 
 def chunked(documents: DataFrame, key: str, text: str, size: int = 900, neighbours: int = 0) -> DataFrame:
@@ -25,7 +25,7 @@ def chunked(documents: DataFrame, key: str, text: str, size: int = 900, neighbou
     return spread.select(key, F.transform("__w", lambda c: F.struct(c.alias("text"), X.token_set(X.collapse_spaces(F.lower(c))).alias("tokens"), N.extract_numbers(c).alias("numbers"))).alias("chunks"))
 
 
-def evidence_packs(facts: DataFrame, chunks: DataFrame, key: str, fact_id: str, claim: str, top_k: int = 3, weights: dict[str, float] = RETRIEVAL_WEIGHTS) -> DataFrame:
+def evidence_packs(facts: DataFrame, chunks: DataFrame, key: str, fact_id: str, claim: str, top_k: int = 5, hint: str | None = None, weights: dict[str, float] = RETRIEVAL_WEIGHTS) -> DataFrame:
     """For each fact the best chunks of its document: ``key, fact_id, rank, chunk_index, score, snippet``.
 
     The chunks of a document arrive as one bounded array, so facts and chunks are never crossed by a
@@ -33,12 +33,18 @@ def evidence_packs(facts: DataFrame, chunks: DataFrame, key: str, fact_id: str,
     position; a fact that nothing supports has chunk 0 with score 0, one whose document has no chunks no row.
     """
     normal = X.collapse_spaces(F.lower(F.coalesce(F.col(claim), F.lit(""))))
-    wanted = facts.select(key, fact_id, X.token_set(normal).alias("__t"), N.extract_numbers(F.col(claim)).alias("__n"))
+    hinted = X.collapse_spaces(F.lower(F.coalesce(F.col(hint) if hint else F.lit(""), F.lit(""))))
+    wanted = facts.select(
+        key, fact_id, X.token_set(F.concat_ws(" ", normal, F.nullif(hinted, F.lit("")))).alias("__t"), X.token_set(hinted).alias("__h"),
+        N.extract_numbers(F.col(claim)).alias("__n"), F.array_distinct(N.extract_dates(F.col(claim))).alias("__d"),
+    )
     joined = wanted.join(chunks, key)
 
     def score(c: Column) -> Column:
         number = F.when(F.size("__n") > 0, N.preserved_in_blob(F.col("__n"), c["numbers"])).otherwise(F.lit(0.0))
-        return weights["token_overlap"] * X.overlap_ratio(F.col("__t"), c["tokens"]) + weights["number_similarity"] * number
+        date = F.when(F.size("__d") > 0, N.date_share(F.col("__d"), N.extract_dates(c["text"]))).otherwise(F.lit(0.0))
+        words = weights["token_overlap"] * X.overlap_ratio(F.col("__t"), c["tokens"]) + weights["hint_overlap"] * X.overlap_ratio(F.col("__h"), c["tokens"])
+        return words + weights["number_similarity"] * number + weights["date_similarity"] * date
 
     scored = F.transform("chunks", lambda c, i: F.struct((-score(c)).alias("minus"), i.alias("at"), F.substring(c["text"], 1, 1200).alias("snippet")))
     ranked = F.slice(F.array_sort(F.filter(scored, lambda s: s["minus"] < 0)), 1, top_k)

@@ -60,15 +60,15 @@ def diverse_top(df: DataFrame, by: list[str], group: str, order: list[Column], n
 def stratified(df: DataFrame, by: list[str], score: str, tie: str, most: int) -> DataFrame:
     """A third of ``most`` from the low end, the middle and the high end of each group by score.
 
-    Groups within ``most`` come whole. The high third has at least one row; the middle is taken
-    at even steps, starting right behind the low third.
+    Groups within ``most`` come whole. What does not divide by three goes to the high end; the middle is
+    taken at even steps over the group's size, starting right behind the low third.
     """
-    low, high = most // 3, max(1, most // 3)
+    low, high = most // 3, -(-most // 3)
     middle = most - low - high
     w = Window.partitionBy(*by)
     ranked = df.withColumn("__rn", F.row_number().over(w.orderBy(F.col(score).asc_nulls_first(), F.col(tie)))).withColumn("__n", F.count("*").over(w))
     rn, n = F.col("__rn"), F.col("__n")
-    step = F.greatest(F.lit(1), F.floor((n - low - high) / F.lit(max(1, middle))).cast("int"))
+    step = F.greatest(F.lit(1), F.floor(n / F.lit(max(1, middle))).cast("int"))
     at = rn - low - 1
     in_middle = (rn > low) & (rn <= n - high) & (at % step == 0) & (F.floor(at / step) < middle)
     band = F.when(n <= most, "all").when(rn <= low, "low").when(rn > n - high, "high").when(in_middle, "middle")

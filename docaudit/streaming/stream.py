@@ -16,8 +16,9 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
 def arriving(spark: SparkSession, folder: str, schema: T.StructType, files_per_trigger: int = 100) -> DataFrame:
-    """Parquet files as they arrive in a folder."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(folder)
+    """Parquet files as they arrive in a folder; times without a zone are taken in the session's, as watermarks need."""
+    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(folder)
+    return rows.withColumns({f.name: F.col(f.name).cast("timestamp") for f in schema.fields if isinstance(f.dataType, T.TimestampNTZType)})
 
 
 def once_per_key(rows: DataFrame, key: str, time: str, lateness: str = "1 day") -> DataFrame:
