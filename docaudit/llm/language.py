@@ -111,7 +111,7 @@ class LanguageModel:
                 if k is None:
                     k = known.get(units[i])
                     found[i] = self._add(units[i]) if k is None else k
-        ends = np.cumsum([len(line) for line in lines])
+        ends = np.cumsum([len(line) for line in lines], dtype=np.int64)
         total = np.zeros((len(units) + 1, BITS), np.float64)
         if units:
             np.cumsum(self.vectors[np.array(found, np.int64)], axis=0, out=total[1:], dtype=np.float64)

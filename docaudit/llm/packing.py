@@ -25,6 +25,9 @@ from docaudit.llm.encoding import DEFAULT_VOCABULARY, count_tokens
 CAPACITY = 2048
 #: Expected items of a shard: about 2,000 containers of the sizes seen, packed in about a second.
 SHARD_ITEMS = 10_000
+#: Bounds of the search, none of which leaves an item out: pairs of containers looked at per container,
+#: targets of one donor, items of a donor that are offered in pairs.
+LOOKS, WIDEST, PAIRED = 60, 200, 40
 
 
 def _best_fit(sizes: np.ndarray, capacity: int) -> list[list[int]]:
@@ -52,53 +55,59 @@ def _best_fit(sizes: np.ndarray, capacity: int) -> list[list[int]]:
 
 
 def _improve(bins: list[list[int]], sizes: np.ndarray, capacity: int) -> list[list[int]]:
-    """Local search: moves, one-for-one and two-for-one exchanges out of the emptiest container."""
+    """Local search: moves, one-for-one and two-for-one exchanges from emptier into fuller containers, until nothing improves."""
     size = sizes.tolist()
     fill = [sum(size[i] for i in b) for b in bins]
-    open_bins = [k for k in range(len(bins)) if fill[k] < capacity]
-    while len(open_bins) > 1:
-        open_bins.sort(key=lambda k: (fill[k], k))
-        donor = open_bins[0]
+    looks = LOOKS * (len(bins) + 100)
+    improved = True
+    while improved and looks > 0:
         improved = False
-        for target in reversed(open_bins[1:]):  # the fullest first: there a step adds most to the sum of squares
-            room = capacity - fill[target]
-            if not room:
+        open_bins = sorted((k for k in range(len(bins)) if bins[k] and fill[k] < capacity), key=lambda k: (fill[k], k))
+        for d, donor in enumerate(open_bins[:-1]):
+            if looks <= 0 or not fill[donor]:
                 continue
-            mine = sorted(bins[donor], key=lambda i: -size[i])
-            best, take, give = 0, (), ()
-            for i in mine:  # a move
-                if best < size[i] <= room:
-                    best, take, give = size[i], (i,), ()
-                    break
-            if best < room:
-                theirs = sorted(((size[j], j) for j in bins[target]))
-                keys = [s for s, _ in theirs]
-                pairs = [(size[i], (i,)) for i in mine]
-                pairs += [(size[mine[a]] + size[mine[b]], (mine[a], mine[b])) for a in range(min(len(mine), 40)) for b in range(a + 1, min(len(mine), 40))]
-                for total, items in pairs:  # out goes the smallest of theirs that leaves no more than the room
-                    at = bisect_left(keys, total - room)
-                    if at < len(keys) and best < total - keys[at] <= room:
-                        best, take, give = total - keys[at], items, (theirs[at][1],)
-                        if best == room:
-                            break
-            if best > 0 and fill[target] + best > fill[donor] - 0:
-                bins[donor] = [i for i in bins[donor] if i not in take] + list(give)
-                bins[target] = [j for j in bins[target] if j not in give] + list(take)
-                fill[donor] -= best
-                fill[target] += best
-                improved = True
-                if not fill[donor]:
-                    break
-        if not fill[donor]:
-            bins[open_bins[1]].extend(bins[donor])  # only empty texts are left in it
-            bins[donor] = []
-            open_bins = open_bins[1:]
-        elif not improved:
-            open_bins = open_bins[1:]  # nothing can leave it: the next emptiest
-        open_bins = [k for k in open_bins if fill[k] < capacity]
+            for target in sorted(open_bins[d + 1 :], key=lambda k: -fill[k])[:WIDEST]:  # the fullest first: there a step adds most
+                looks -= 1
+                room = capacity - fill[target]
+                if not room or fill[target] < fill[donor]:
+                    continue
+                gain, take, give = _step(bins[donor], bins[target], size, room)
+                if gain:
+                    bins[donor] = [i for i in bins[donor] if i not in take] + list(give)
+                    bins[target] = [j for j in bins[target] if j not in give] + list(take)
+                    fill[donor] -= gain
+                    fill[target] += gain
+                    improved = True
+                    if not fill[donor]:
+                        break
+            if not fill[donor] and bins[donor]:  # only empty texts are left in it
+                bins[open_bins[d + 1]].extend(bins[donor])
+                bins[donor] = []
     return [b for b in bins if b]
 
 
+def _step(mine: list[int], theirs: list[int], size: list[int], room: int) -> tuple[int, tuple, tuple]:
+    """The move or exchange that fills most of the room: what it adds, what goes over, what comes back."""
+    mine = sorted(mine, key=lambda i: -size[i])
+    best, take, give = 0, (), ()
+    for i in mine:
+        if 0 < size[i] <= room:
+            best, take = size[i], (i,)
+            break
+    if best < room:
+        ordered = sorted((size[j], j) for j in theirs)
+        keys = [s for s, _ in ordered]
+        few = mine[:PAIRED]
+        offers = [(size[i], (i,)) for i in mine] + [(size[a] + size[b], (a, b)) for n, a in enumerate(few) for b in few[n + 1 :]]
+        for total, items in offers:  # back comes the smallest of theirs that leaves no more than the room
+            at = bisect_left(keys, total - room)
+            if at < len(keys) and best < total - keys[at] <= room:
+                best, take, give = total - keys[at], items, (ordered[at][1],)
+                if best == room:
+                    break
+    return best, take, give
+
+
 def pack(sizes: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
     """The container of each item; every size is at most ``capacity``."""
     where = np.zeros(len(sizes), np.int64)
