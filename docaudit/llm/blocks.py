@@ -33,6 +33,17 @@ MARK = re.compile(r"\s*(?:[•·▪*>–-]|\d{1,3}[.)]|\[ ?\])\s+")
 SEPARATOR = re.compile(r"\s[|·>»/–-]\s|\s{2,}|\|")
 LINE_TABLE = 200_000
 
+#: Ends of teasers, by language (fixed values).
+TEASER_ENDS = """
+read more|\\d+ min read|watch the replay|podcast, \\d+ minutes
+>>更多|阅读全文|閱讀全文|\\d+分钟阅读|\\d+分鐘閱讀|\\d+分钟閱讀
+weiterlesen|min\\. lesezeit
+lire la suite|min de lecture
+leer más|leer mas|min de lectura|seguir leyendo
+続きを読む|\\d+分で読めます）
+"""
+TEASER_END = re.compile("(?:" + "|".join(TEASER_ENDS.strip().split("\n")) + r")\s*$", re.I)
+
 
 def shape_path(line: str) -> str:
     """A stand-in for the tag path of a block that comes without one: what its shape suggests."""
@@ -127,6 +138,9 @@ class BlockLabeller:
                 n = len(pages[k])
                 both = np.concatenate([left[:n, j], right[:n, j][::-1], ahead[:n, j]], axis=1)
                 out[k] = sigmoid(both @ w["v"] + w["c"])
+                for i, line in enumerate(pages[k]):  # an exact check: what invites to read on is a teaser, whatever stands around it
+                    if TEASER_END.search(line[-40:]):
+                        out[k][i] = 1.0
         return out
 
 

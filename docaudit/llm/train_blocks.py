@@ -15,7 +15,7 @@ import sys
 
 import numpy as np
 
-from docaudit.llm.blocks import BUCKETS, HIDDEN, WEIGHTS, WIDTH, BlockLabeller, block_features, sigmoid
+from docaudit.llm.blocks import BUCKETS, HIDDEN, TEASER_END, WEIGHTS, WIDTH, BlockLabeller, block_features, sigmoid
 
 #: Entries of navigation, by language (fixed values).
 NAVIGATION = """
@@ -29,9 +29,9 @@ quiénes somos|inicio|contacto|nuestros fondos|buscar|análisis|acceso clientes
 #: Words by which other furniture gives itself away, by language (fixed values).
 FURNITURE = """
 cookie|browser|partners process|accept all|privacy|preferences|consent|withdraw your|device data|past performance|not a guide|views expressed|terms of use|sitemap|accessibility|professional investor|not an offer|capital is at risk|^complaints$|^fraud alert$|back to top|^follow us|^print$|copy link|download as pdf|share this|enter your e-?mail|join more than|sign up|subscribe now|weekly letter|i have read and accept|select your country|all rights reserved|authorised and supervised|^©|in your inbox|register free|unlock the full|^advertisement|^tags?:|^page \\d+ of|loading chart|previous \\| next|was this page|session will end|reprints and perm|\\d+ comments|listen to this
-版权所有|版權所有|^广告$|^廣告$|标签：|標簽|標籤|评论（|評論（|收听本文|收聽本文|图表加载|圖表加載|圖表加载|上一篇|注册会员|註冊會員|第 ?\\d+ ?页|缓存文件|緩存文件|偏好设置|偏好設置|全部接受|点击同意|點擊同意|投诉电话|投訴電話|投资需谨慎|投資需谨慎|投資需謹慎|隐私政策|隱私政策|使用条款|免责声明|免責聲明|仅供专业|僅供專業|僅供专业|字号：|字號：|请输入邮箱|請輸入郵箱|订阅|訂閱|返回顶部|分享到|打印本|下载全文|下載全文|您属于合格|已阅读并同意|已閱讀|公众号|公眾號|存储相关信息|存儲相關信息|收集必要的|撤回授
-alle akzeptieren|einwilligung|einstellungen verwalten|wertentwicklung|professionelle anleger|professioneller anleger|impressum|datenschutz|seite drucken|nach oben|artikel teilen|e-mail-adresse|newsletter abonnieren|alle rechte|kommentare|anzeige$|registrieren|jeden freitag|seite \\d+ von|diagramm wird
-tout accepter|mes choix|votre accord|audience du site|performances pass|investisseurs? professionnels?|mentions l|s'abonner|haut de page|imprimer la page|partager cet|tous droits|chaque vendredi|\\d+ commentaires?$|publicité|adresse e-mail|inscrivez|page \\d+ sur
+版权所有|版權所有|^广告$|^廣告$|标签：|標签：|標簽|標籤|不构成任何|不構成任何|评论（|評論（|收听本文|收聽本文|图表加载|圖表加載|圖表加载|上一篇|注册会员|註冊會員|第 ?\\d+ ?页|缓存文件|緩存文件|偏好设置|偏好設置|全部接受|点击同意|點擊同意|投诉电话|投訴電話|投资需谨慎|投資需谨慎|投資需謹慎|隐私政策|隱私政策|使用条款|免责声明|免責聲明|仅供专业|僅供專業|僅供专业|字号：|字號：|请输入邮箱|請輸入郵箱|订阅|訂閱|返回顶部|分享到|打印本|下载全文|下載全文|您属于合格|已阅读并同意|已閱讀|公众号|公眾號|存储相关信息|存儲相關信息|收集必要的|撤回授
+alle akzeptieren|einwilligung|einstellungen verwalten|wertentwicklung|professionelle anleger|professioneller anleger|impressum|datenschutz|seite drucken|nach oben|artikel teilen|e-mail-adresse|newsletter abonnieren|alle rechte|kommentare|anzeige$|registrieren|schlagwörter|schlagworte|jeden freitag|seite \\d+ von|diagramm wird
+tout accepter|mes choix|votre accord|audience du site|performances pass|investisseurs? professionnels?|mentions l|s'abonner|haut de page|imprimer la page|partager cet|tous droits|chaque vendredi|\\d+ commentaires?$|publicité|mots-clés|adresse e-mail|inscrivez|page \\d+ sur
 aceptar todas|gestionar pref|su consentimiento|uso de esta página|rentabilidades pasadas|inversor(?:es)? profesional|aviso legal|suscríbase|volver arriba|imprimir página|compartir este|derechos reservados|cada viernes|comentarios|publicidad|etiquetas|regístrese|página \\d+ de
 すべて同意|設定を管理|同意はいつでも|クッキーを使い|将来の成果を保証|専門家向け|利用規約|個人情報|メール配信|ページの先頭|ページを印刷|記事を共有|無断転載|プロの投資家|週次レポート|コメント|広告$|タグ|会員登録|メールアドレス
 """
@@ -44,26 +44,17 @@ les plus lus|voir tous les articles|à lire aussi|a lire aussi
 lo más leído|ver todos los artículos|ver todos los articulos|lo mas leido|también le puede interesar|tambien le puede interesar
 関連レポート|一覧を見る|次の記事|よく読まれている記事
 """
-#: Ends of teasers, by language (fixed values).
-TEASER_ENDS = """
-read more|\\d+ min read|watch the replay|podcast, \\d+ minutes
->>更多|阅读全文|閱讀全文|\\d+分钟阅读|\\d+分鐘閱讀|\\d+分钟閱讀
-weiterlesen|min\\. lesezeit
-lire la suite|min de lecture
-leer más|leer mas|min de lectura|seguir leyendo
-続きを読む|\\d+分で読めます）
-"""
 #: What articles themselves say about such things (fixed values).
 ARTICLE = "cookies disappear|third-party cookies|pay less|newsletter and podcast|five year view|订阅用户|訂閱用户|訂閱用戶|隐私授权|隱私授權|隐私授權|cookies tiers|abonnements reculent|newsletter von|boletín de|cookies de terceros|配信サービス"
 
 
-def _any(words: str, whole: bool = False, end: bool = False) -> re.Pattern:
+def _any(words: str, whole: bool = False) -> re.Pattern:
     joined = "|".join(line for line in words.strip().split("\n"))
-    return re.compile(f"^(?:{joined})$" if whole else f"(?:{joined})$" if end else joined, re.I)
+    return re.compile(f"^(?:{joined})$" if whole else joined, re.I)
 
 
 NAV_ENTRIES = frozenset(x.strip() for x in re.split(r"[|\n]", NAVIGATION) if x.strip())
-SPEAKS, HEADS, ENDS, OWN = _any(FURNITURE), _any(TEASER_HEADINGS, whole=True), _any(TEASER_ENDS, end=True), re.compile(ARTICLE, re.I)
+SPEAKS, HEADS, ENDS, OWN = _any(FURNITURE), _any(TEASER_HEADINGS, whole=True), TEASER_END, re.compile(ARTICLE, re.I)
 SIMPLE = str.maketrans("關於機構客戶頁聯繫係錄資產觀點換語導單們尋", "关于机构客户页联系系录资产观点换语导单们寻")
 
 
@@ -242,7 +233,7 @@ def main(source: str, out: str = WEIGHTS) -> None:
     rng = random.Random(1)
     rng.shuffle(pages)
     held = len(pages) // 8
-    weights = train(compose(pages[held:], rng, 3), epochs=6)
+    weights = train(compose(pages[held:], rng, 4), epochs=6)
     np.savez_compressed(out, **{k: x.astype(np.float16) for k, x in weights.items()})
     print("held out, as they are:", evaluate(out, compose(pages[:held], rng, 0)))
     print("held out, put together:", evaluate(out, compose(pages[:held], rng, 1)[held:]))
