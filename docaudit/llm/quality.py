@@ -130,7 +130,7 @@ def wrapped(lines: list[str]) -> list[bool]:
     spans: list[tuple[int, int, int]] = []
     for i in range(len(lines) - 1):
         a, b = lines[i].rstrip(), lines[i + 1].strip()
-        if len(a) < 30 or not b or len(a) > 160:
+        if len(a) < 30 or not b or len(a) > 160 or MARKER.match(b):
             continue
         first = 1 if HAS_CJK.match(b) else len(b.split(" ", 1)[0])
         if first <= 30 and not END.search(a):
