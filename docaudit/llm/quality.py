@@ -38,7 +38,9 @@ LETTER_RUN = re.compile(r"[^\W\d_]+")
 DELIMITERS = ("\t", "|", ";", ",", "  ")
 WIDE_GAP = re.compile(r" {2,}")
 SYMBOL = re.compile(r"[^\w\s.,:;()%/+-]|(?<=[^\w\s])[.,:;()%/+-]")
-LATIN_1 = re.compile("[\x80-\xff]")
+ODD = re.compile(r"[`|\\^~_@#<>{}=]")
+GARBLED = re.compile(r"[A-Za-z][01][A-Za-z]|\s[;:,.']\S|[;:,'][;:,.']|[*&%$+!?/-]{3}")
+MIXED = re.compile(r"[A-Za-z][01][A-Za-z]|\s[;:,.']\S|[;:,.'`][;:,.'`]|[a-z][;:,.][a-z]|[a-z][A-Z]")
 CONTROL = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x9f�]")
 
 
@@ -99,22 +101,28 @@ def _junk(line: str) -> bool:
     n = len(s)
     if n < 4:
         return not any(c.isalnum() for c in s)
+    ascii_only = len(s.encode("ascii", "ignore"))
+    high = len(s.encode("latin-1", "ignore")) - ascii_only if ascii_only < n else 0
+    if high > 3 and (high > 0.22 * n or high > 0.1 * n and len(CONTROL.findall(s)) > 0.02 * n):
+        return True
+    blob = BLOB.search(s)
+    odd_marks = ODD.search(s)
+    if not blob and not odd_marks and not GARBLED.search(s):  # most lines
+        return n >= 24 and repeated(s)
     letters = sum(map(len, LETTER_RUN.findall(s)))
     if n >= 24 and letters and repeated(s):
         return True
     marks = CODE.findall(s)
     if marks and sum(map(len, marks)) * 2 > n - 8:
         return True
-    blobs = BLOB.findall(s)
-    if blobs and sum(map(len, blobs)) * 2 > n and any(re.search("[a-z][A-Z]|[A-Za-z][0-9]|[0-9][A-Za-z]", b) for b in blobs):
-        return True
-    if n >= 12 and letters < 0.35 * n and len(SYMBOL.findall(s)) > 0.3 * n:
-        return True
-    high = len(LATIN_1.findall(s))
-    if high > 3 and (high > 0.22 * n or len(CONTROL.findall(s)) > 0.02 * n and high > 0.1 * n):
-        return True
+    if blob:
+        blobs = BLOB.findall(s)
+        if sum(map(len, blobs)) * 2 > n and any(re.search("[a-z][A-Z]|[A-Za-z][0-9]|[0-9][A-Za-z]", b) for b in blobs):
+            return True
     if n >= 12:
-        odd = sum(s.count(c) for c in "`|\\^~_@#<>{}=") + len(re.findall(r"[A-Za-z][01][A-Za-z]|\s[;:,.']\S|[;:,.'`][;:,.'`]|[a-z][;:,.][a-z]|[a-z][A-Z]", s))
+        if letters < 0.35 * n and len(SYMBOL.findall(s)) > 0.3 * n:
+            return True
+        odd = len(ODD.findall(s)) + len(MIXED.findall(s))
         if odd * 9 > n and n > odd * 2 and not HAS_CJK.search(s):
             return True
     return False
