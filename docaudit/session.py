@@ -39,6 +39,15 @@ def shared_checkpoint(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores, if it is read in fewer parts than there are cores: a small input for costly work per row.
+
+    Inputs of more parts, so all large ones, stay where they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """The Parquet table ``name`` of a data folder."""
     return spark.read.parquet(f"{folder}/{name}.parquet")
