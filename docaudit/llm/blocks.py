@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docaudit.session import spread
+
 BUCKETS = 1 << 13
 WIDTH = 16
 HIDDEN = 24
@@ -172,7 +174,7 @@ def label_lines(df: DataFrame, key: str, text: str, threshold: float = 0.5, weig
                 values = np.concatenate(scores) if scores else np.zeros(0)
                 yield pd.DataFrame({key: pd.Series(keys, dtype=rows[key].dtype), "line_no": np.array([i for page in numbered for i, _ in page], np.int32), "furniture": values.astype(np.float64), "is_content": values < threshold})
 
-    return df.select(key, text).mapInPandas(run, schema)
+    return spread(df.select(key, text)).mapInPandas(run, schema)
 
 
 def main_text(df: DataFrame, key: str, text: str, out: str = "main_text", threshold: float = 0.5, weights: str = WEIGHTS) -> DataFrame:

@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docaudit.session import spread
+
 DEFAULT_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 #: The published splitting pattern of this vocabulary (fixed value).
@@ -165,7 +167,7 @@ def encode_texts(df: DataFrame, text: str = "text", out: str = "ids", vocabulary
                 rest = [batch.column(c).slice(first, end - first) for c in keep]
                 yield pa.RecordBatch.from_arrays([*rest, values], names=[*keep, out])
 
-    return df.select(*keep, text).mapInArrow(run, schema)
+    return spread(df.select(*keep, text)).mapInArrow(run, schema)
 
 
 def count_tokens(df: DataFrame, text: str = "text", out: str = "n_tokens", vocabulary: str = DEFAULT_VOCABULARY) -> DataFrame:
@@ -181,7 +183,7 @@ def count_tokens(df: DataFrame, text: str = "text", out: str = "n_tokens", vocab
                 rest = [batch.column(c).slice(first, end - first) for c in keep]
                 yield pa.RecordBatch.from_arrays([*rest, pa.array(sizes.astype(np.int64))], names=[*keep, out])
 
-    return df.select(*keep, text).mapInArrow(run, schema)
+    return spread(df.select(*keep, text)).mapInArrow(run, schema)
 
 
 def p6_ids(spark, folder: str) -> DataFrame:

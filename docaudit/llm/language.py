@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docaudit.llm import quality
+from docaudit.session import spread
 
 LANGUAGES = ("en", "zh", "de", "fr", "es", "ja")
 
@@ -281,7 +282,7 @@ def language_segments(items: DataFrame, model: LanguageModel, label: str = "labe
                     out.extend((*(c[i] for c in columns), *s, given, case) for s in segments)
                 yield pd.DataFrame(out, columns=[*keys, "first_line", "language", "confidence", "ambiguous", "label", "is_case"])
 
-    return source.mapInPandas(run, schema)
+    return spread(source).mapInPandas(run, schema)
 
 
 def p1_items(spark, folder: str) -> DataFrame:

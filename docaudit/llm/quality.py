@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docaudit.session import spread
+
 PROSE, LIST, TABLE, JUNK = "prose", "list", "table", "junk"
 KINDS = (PROSE, LIST, TABLE, JUNK)
 
@@ -285,7 +287,7 @@ def text_quality(df: DataFrame, words: list[str], key: str = "doc_id", text: str
             out["word_count"] = out["word_count"].astype(np.int64)
             yield out.assign(kind=[kind_of(t) for t in texts])
 
-    return df.select(key, text).mapInPandas(run, schema)
+    return spread(df.select(key, text)).mapInPandas(run, schema)
 
 
 def text_kinds(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -295,7 +297,7 @@ def text_kinds(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
         for rows in batches:
             yield pd.DataFrame({key: rows[key], "kind": [kind_of(t) for t in rows[text]]})
 
-    return df.select(key, text).mapInPandas(run, f"{key} {df.schema[key].dataType.simpleString()}, kind string")
+    return spread(df.select(key, text)).mapInPandas(run, f"{key} {df.schema[key].dataType.simpleString()}, kind string")
 
 
 def common_words(spark, folder: str) -> list[str]:

@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docaudit.session import spread
+
 PARAGRAPH, LINE, SENTENCE, SPACE = 3, 2, 1, 0
 
 #: Abbreviations after which a sentence never ends (fixed values).
@@ -185,7 +187,7 @@ def split_texts(df: DataFrame, key: str, text: str, limit: int, overlap: int) ->
                     ends.append(b)
             yield pd.DataFrame({key: pd.Series(keys, dtype=rows[key].dtype), "piece_no": np.array(numbers, np.int32), "start_pos": np.array(starts, np.int32), "end_pos": np.array(ends, np.int32)})
 
-    return df.where(F.length(text) > limit).select(key, text).mapInPandas(run, schema)
+    return spread(df.where(F.length(text) > limit).select(key, text)).mapInPandas(run, schema)
 
 
 def needed(positions: np.ndarray, kinds: np.ndarray, limit: int, low: int, high: int) -> np.ndarray:
