@@ -147,7 +147,11 @@ def heading_lines(spark, d):
     return rows.select("doc_id", (F.col("p") + 1).alias("pos"), "heading")
 
 
-@query()
+@query(
+    "SELECT chart_row_id, substring(regexp_extract(t,'(?i)((?:sources?|data source|资料来源|数据来源|来源)[ \\t]*[:：-][^\\n]+)',1),1,220) AS note, "
+    "array_to_string(list_transform(list_filter(list_zip(u, range(1,len(u)+1)), lambda z: list_position(u, z[1])=z[2]), lambda z: z[1]),' ') AS units, coalesce(list_filter(list_transform(string_split(t,chr(10)), "
+    rf"lambda x: regexp_replace(x,'^{WS}|{WS}$','','g')), lambda x: length(x)>=4 AND length(x)<=160)[1], title) AS inferred_title FROM (SELECT chart_row_id, title, coalesce(nearby_text,'') AS t, regexp_extract_all(lower(coalesce(nearby_text,'')),'(%|bps|bp|usd|eur|cny|rmb|billion|million|亿元|万元|倍|个百分点|个基点)',1) AS u FROM chart_candidates)"
+)
 def source_notes(spark, d):
     rows = table(spark, d, "chart_candidates")
     return rows.select("chart_row_id", X.source_note("nearby_text").alias("note"), F.array_join(X.unit_hints("nearby_text"), " ").alias("units"), X.infer_title("nearby_text", F.col("title")).alias("inferred_title"))
@@ -813,7 +817,24 @@ def issues_by_module(spark, d):
     return J.group_issues(long, issues, ["article_id"]).select("article_id", "module", "issues")
 
 
-@query()
+def _sat(count: str, target: int) -> str:
+    return f"(CASE WHEN {count}<=0 THEN 0.0 ELSE greatest(0.0,least(1.0,1-exp(-ln(5.0)*{count}/{target}))) END)"
+
+
+_CAND_TERMS = D.RISK_TERMS + D.SCENARIO_TERMS
+_OCC = "+".join(f"(length(n)-length(replace(n,'{t}','')))//{len(t)}" for t in D.SOURCE_TERMS)
+_COVER = "+".join("CASE WHEN " + " OR ".join(f"contains(n,'{t}')" for t in terms) + " THEN 1 ELSE 0 END" for terms in D.SECTION_GROUPS.values())
+_CAND = (
+    "(SELECT *, round(structure*20.0+sources*20.0+numbers*20.0+scenario_risk*25.0+delivery*15.0,2) AS overall FROM (SELECT *, "
+    f"({_COVER})/{float(len(D.SECTION_GROUPS))} AS structure, {_sat('(' + _OCC + ')', 3)} AS sources, "
+    + _sat("len(regexp_extract_all(n,'[0-9]+(?:[.,][0-9]+)?\\s?(?:%|percent|billion|million|个|亿|bps|basis)'))", 8)
+    + f" AS numbers, {_sat(f'len(list_filter({_list(_CAND_TERMS)}, lambda t: contains(n,t)))', 3)} AS scenario_risk, "
+    f"CASE WHEN length(n)>=1800 THEN 1.0 WHEN length(n)>=600 THEN 0.7 WHEN length(n)>0 THEN 0.4 ELSE 0.0 END AS delivery FROM (SELECT *, {NORMAL} AS n FROM documents)))"
+)
+_FAILS = "array_to_string(list_filter([CASE WHEN overall<55 THEN 'overall_below_threshold' END, CASE WHEN round(structure,3)<0.3 THEN 'structure_below_threshold' END, CASE WHEN delivery<0.5 THEN 'delivery_below_threshold' END], lambda x: x IS NOT NULL),';')"
+
+
+@query(f"SELECT doc_id, overall, CASE WHEN overall>=90 THEN 'Gold' WHEN overall>=80 THEN 'Silver' WHEN overall>=70 THEN 'Bronze' ELSE 'Reject' END AS grade, {_FAILS} AS failures FROM {_CAND}")
 def candidate_reports(spark, d):
     out = pipeline.scored_reports(table(spark, d, "documents"), "doc_id", "text")
     return out.select("doc_id", "overall", "grade", F.array_join("failures", ";").alias("failures"))
@@ -833,3 +854,4 @@ def flagship(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES["candidate_summary"] = flagship
+SQL["candidate_summary"] = _field_sql(["lang", "subtype", "source"], f"(SELECT lang, subtype, source, overall, {_FAILS}='' AS passed FROM {_CAND})", "count(*) AS n, round(avg(overall)::DECIMAL(38,10),2)::DOUBLE AS avg_score, min(overall) AS min_score, max(overall) AS max_score, sum(passed::INT) AS passed, round((sum(passed::INT)/count(*)::DOUBLE)::DECIMAL(38,10),3)::DOUBLE AS pass_rate")
