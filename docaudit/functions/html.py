@@ -183,3 +183,37 @@ def decode_bytes(contents: pd.Series) -> pd.DataFrame:
             except UnicodeDecodeError:
                 continue
     return pd.DataFrame(out, columns=["text", "encoding", "decode_errors", "fallback_used"]).astype({"decode_errors": "Int32"})
+
+
+def page_metrics(page: Column) -> dict[str, Column]:
+    """Measures of a parsed page by name: lengths, counts and the share of link text. A page that was null has 0 throughout."""
+    zero = lambda c: F.coalesce(c.cast("int"), F.lit(0))
+    paragraphs = F.filter(page["blocks"], lambda b: b["path"].rlike("(^|/)p$"))
+    return {
+        "text_length": zero(F.length(page["text"])),
+        "paragraphs": zero(F.size(F.coalesce(paragraphs, F.array().cast(paragraph_type())))),
+        "long_paragraphs": zero(F.size(F.filter(F.coalesce(paragraphs, F.array().cast(paragraph_type())), lambda b: F.length(b["text"]) >= 120))),
+        "headings": zero(F.when(page["headings"].isNotNull(), F.size(page["headings"]))),
+        "links": zero(F.when(page["links"].isNotNull(), F.size(page["links"]))),
+        "list_items": zero(page["list_items"]),
+        "images": zero(page["images"]),
+        "tables": zero(page["tables"]),
+        "link_ratio": F.coalesce(link_text_ratio(page), F.lit(0.0)),
+    }
+
+
+def paragraph_type() -> T.ArrayType:
+    return T.ArrayType(NODE)
+
+
+@F.pandas_udf(_S())
+def absolute_css(css: pd.Series, base: pd.Series) -> pd.Series:
+    """Style text with its url() references made absolute against the base address of each row; data URIs and null stay."""
+    from urllib.parse import urljoin
+
+    def one(text: str | None, address: str | None) -> str | None:
+        if text is None:
+            return None
+        return CSS_URL.sub(lambda m: m.group(0) if m.group(1).startswith("data:") else f'url("{urljoin(address or "", m.group(1).strip())}")', text)
+
+    return pd.Series([one(t, a) for t, a in zip(css, base, strict=True)], dtype=object)

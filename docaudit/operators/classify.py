@@ -101,3 +101,39 @@ def redline_decision(matched: Column, context: Column, hard: list[str], negation
     negated = F.exists(F.array(*map(F.lit, negations)), lambda t: F.contains(low, t))
     direct = F.exists(F.array(*map(F.lit, hard)), lambda t: F.contains(m, t))
     return first_rule([(negated, "needs_review"), (direct, "blocker")], "needs_review")
+
+
+def article_assessment(metrics: dict[str, Column], signals: Column, title: Column, least_length: int = 600, generic_titles: tuple[str, ...] = ("home", "insights", "research", "")) -> dict[str, Column]:
+    """Whether a page is an article, with a score from 0 to 100 and the reasons against it, from ``html.page_metrics``."""
+    from docaudit.operators.filters import generic_title
+
+    m = metrics
+    against = reasons(
+        [
+            (m["text_length"] < least_length, "too_short"),
+            (m["paragraphs"] < 3, "few_paragraphs"),
+            (m["long_paragraphs"] < 1, "no_long_paragraph"),
+            (m["link_ratio"] > 0.55, "link_heavy"),
+            (m["list_items"] > 3 * (m["paragraphs"] + 1), "list_page"),
+            (signals < 1, "no_signals"),
+            (generic_title(F.coalesce(title, F.lit("")), list(generic_titles)), "generic_title"),
+        ]
+    )
+    score = 35 * N.saturation(m["text_length"], 4000) + 25 * N.saturation(m["long_paragraphs"], 5) + 20 * (1 - N.clamp(m["link_ratio"])) + 20 * N.saturation(signals, 4)
+    return {"score": F.round(score, 2), "reject_reasons": against, "article_like": F.size(against) == 0}
+
+
+def coverage_status(found: Column, checked: Column, failed: Column) -> Column:
+    """How far the visuals of a report were checked: none found, none checked, in part, with failures, in full."""
+    return first_rule([(found == 0, "none_found"), (checked == 0, "not_checked"), (failed > 0, "with_failures"), (checked < found, "in_part")], "in_full")
+
+
+def page_kind(text_length: Column, visuals: Column, largest_share: Column) -> Column:
+    """A page's kind by how much text and how large visuals it has."""
+    return first_rule([((text_length < 80) & (visuals == 0), "blank"), (largest_share > 0.6, "full_visual"), ((visuals > 0) & (text_length > 400), "mixed"), (visuals > 0, "visual"), (text_length > 400, "text")], "sparse")
+
+
+def priority(rank: Column, module_low: Column) -> Column:
+    """Urgency of an issue from the rank of its severity, one step lower for modules that matter less."""
+    step = rank + F.when(true(module_low), 1).otherwise(0)
+    return first_rule([(step <= 0, "P0"), (step == 1, "P1"), (step == 2, "P2")], "P3")

@@ -18,7 +18,9 @@ from docaudit.functions import text as X
 from docaudit.operators import aggregates as A
 from docaudit.operators import classify as C
 from docaudit.operators import evidence as E
+from docaudit.operators import filters as FI
 from docaudit.operators import joins as J
+from docaudit.operators import projections as P
 from docaudit.operators import redlines, rules, scoring
 from docaudit.operators import windows as W
 from docaudit.plans import pipeline
@@ -301,6 +303,45 @@ def chart_kinds(spark, d):
     return table(spark, d, "chart_candidates").select("chart_row_id", C.chart_kind(F.col("title")).alias("kind"))
 
 
+# --- filters, projections -----------------------------------------------------------------
+
+
+@query(
+    "SELECT article_id, coalesce(regexp_matches(title,'(?i)outlook|risk|展望|风险'),false) AND NOT coalesce(regexp_matches(title,'(?i)podcast|summary'),false) AS wanted, coalesce(lower(trim(title)) IN ('summary','key risks','小结'),false) AS generic, "
+    "length(coalesce(text_preview,''))>=600 AND length(coalesce(text_preview,''))>=0.18*coalesce(text_length,0) AS long_enough, ((coalesce(quality_score>=60,false))::INT+(coalesce(article_like,false))::INT+(coalesce(link_text_ratio<0.4,false))::INT)>=2 AS two_of_three FROM article_quality"
+)
+def article_filters(spark, d):
+    c = F.col
+    n = F.length(X.text_or_empty("text_preview"))
+    return table(spark, d, "article_quality").select(
+        "article_id", FI.positive_title(c("title"), "(?i)outlook|risk|展望|风险", "(?i)podcast|summary").alias("wanted"), rules.true(F.lower(F.trim("title")).isin("summary", "key risks", "小结")).alias("generic"),
+        ((n >= 600) & (n >= 0.18 * F.coalesce("text_length", F.lit(0)))).alias("long_enough"), FI.at_least([c("quality_score") >= 60, c("article_like"), c("link_text_ratio") < 0.4], 2).alias("two_of_three"),
+    )
+
+
+@query("SELECT manifest_id, candidate_path FROM golden_manifest WHERE coalesce(lower(trim(source_format)) IN ('html','htm'),false) OR coalesce(regexp_matches(lower(candidate_path),'[.]html?$'),false)")
+def html_rows(spark, d):
+    rows = table(spark, d, "golden_manifest")
+    return rows.where(FI.declared_or_suffix(F.col("source_format"), F.col("candidate_path"), ["html", "htm"], ".html", ".htm")).select("manifest_id", "candidate_path")
+
+
+@query(
+    "SELECT extract_id, array_to_string(list_filter([CASE WHEN title_hint IS NULL OR trim(title_hint)='' THEN 'missing_title_hint' END, CASE WHEN sha256 IS NULL OR trim(sha256)='' THEN 'missing_sha256' END, CASE WHEN text_excerpt IS NULL OR trim(text_excerpt)='' THEN 'missing_text_excerpt' END], lambda x: x IS NOT NULL),';') AS errors, len(headings[1:3]) AS n_headings FROM extracted_documents"
+)
+def validated_extracts(spark, d):
+    rows = P.validated(table(spark, d, "extracted_documents").select("extract_id", "title_hint", "sha256", "text_excerpt", "headings"), ["title_hint", "sha256", "text_excerpt"], {"headings": 3})
+    return rows.select("extract_id", F.array_join("errors", ";").alias("errors"), F.when(F.col("headings").isNotNull(), F.size("headings")).alias("n_headings"))
+
+
+@query(
+    "SELECT manifest_id, CASE strategy_subtype WHEN 'annual_outlook' THEN 'outlook' WHEN 'midyear_outlook' THEN 'outlook' ELSE strategy_subtype END AS kind, CASE WHEN report_date IS NOT NULL AND report_date<>'' THEN report_date WHEN publication_period IS NOT NULL AND publication_period<>'' THEN publication_period END AS shown_date FROM golden_manifest"
+)
+def mapped_manifest(spark, d):
+    c = F.col
+    kinds = {"annual_outlook": "outlook", "midyear_outlook": "outlook"}
+    return table(spark, d, "golden_manifest").select("manifest_id", P.looked_up(c("strategy_subtype"), kinds).alias("kind"), F.coalesce(F.nullif("report_date", F.lit("")), F.nullif("publication_period", F.lit(""))).alias("shown_date"))
+
+
 # --- links, keys --------------------------------------------------------------------------
 
 _HOST = r"lower(nullif(regexp_extract(url,'^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)',1),''))"

@@ -209,3 +209,53 @@ def test_evidence(spark):
     assert {r.f: r.score for r in got}[2] == 0.0
     support = {r.f: r.supported for r in E.claim_support(facts, docs, "r", "f", "c", "t").collect()}
     assert support[1] and support[5] and not support[2]
+
+
+def test_filters(spark):
+    from docaudit.operators import filters as FI
+
+    df = spark.createDataFrame([(1, "Outlook 2024", "a.HTML", None), (2, "Outlook podcast", "b.pdf", "html"), (3, None, None, None), (4, " - Home | ", "c", "pdf")], "i int, t string, p string, f string")
+    c = F.col
+    got = df.select("i", FI.positive_title(c("t"), "Outlook", "podcast").alias("a"), FI.declared_or_suffix(c("f"), c("p"), ["html"], ".html").alias("b"), FI.generic_title(c("t"), ["home"]).alias("c"), FI.any_term(c("t"), ["pod"]).alias("d"), FI.unlike_true(c("t").isNull() & F.lit(None).cast("boolean")).alias("e"))
+    assert rows(got, "i") == [(1, True, True, False, False, True), (2, False, True, False, True, True), (3, False, False, False, False, True), (4, False, False, True, False, True)]
+    assert [r.i for r in FI.in_order(df, "i", [4, 9, 1]).collect()] == [4, 1]
+    yes, no = FI.routed(df, c("f") == "html")
+    assert (yes.count(), no.count(), FI.routed(df, c("f") == "html", True)[0].count()) == (1, 3, 4)
+    texts = spark.createDataFrame([("accept cookies " * 50,), ("accept cookies " * 150,), ("menu " * 30,), ("menu " * 90,), ("x",), ("y" * 90,), (None,)], "t string")
+    assert [r.o for r in texts.select(FI.overlay_text(F.col("t"), ["cookie"], ["menu"]).alias("o")).collect()] == [True, False, True, False, True, False, True]
+    assert [r.u for r in spark.createDataFrame([("x" * 2000, "x" * 3000), ("x" * 2000, "x" * 99_000), (None, None)], "a string, b string").select(FI.usable_excerpt(F.col("a"), F.col("b")).alias("u")).collect()] == [True, False, False]
+
+
+def test_projections(spark):
+    from docaudit.operators import projections as P
+
+    nested = spark.createDataFrame([((1, ("x", 2)), 5)], "a struct<i:int,b:struct<s:string,n:int>>, `a.i` int")
+    assert P.flatten(nested).columns == ["a.i", "a.b.s", "a.b.n", "a.i_2"] and rows(P.flatten(nested)) == [(1, "x", 2, 5)]
+    df = spark.createDataFrame([(None, "p", 1), ("q", "r", 2)], "path string, file_path string, n int")
+    assert rows(P.renamed(df, {"path": ["html_path", "file_path"]}).select("path", "n"), "n") == [("p", 1), ("q", 2)]
+    assert P.renamed(df, {"new": ["none"]}).where("new is null").count() == 2
+    items = spark.createDataFrame([('["claim one", {"fact": "two", "fact_id": "f9"}, {"claim": "three"}, 7, null, []]',), ("broken",), (None,)], "j string")
+    got = [r.x for r in items.select(P.coerced_items(F.col("j"), {"fact_id": ["id"], "claim": ["fact", "content"]}, "claim", "fact_id", "fact_%03d").alias("x")).collect()]
+    assert [(x.fact_id, x.claim) for x in got[0]] == [("fact_001", "claim one"), ("f9", "two"), ("fact_003", "three"), ("fact_004", "7")] and got[1] == [] and got[2] == []
+    checked = P.validated(spark.createDataFrame([("a", ["x"] * 20), (" ", None)], "k string, l array<string>"), ["k"], {"l": 12}).collect()
+    assert [(r.valid, r.errors) for r in checked] == [(True, []), (False, ["missing_k"])] and len(checked[0].l) == 12
+    one = spark.createDataFrame([("a", {"x": "1.23456", "y": "no"}, [("m", 1)]), ("z", None, [])], "k string, m map<string,string>, s array<struct<m:string,n:int>>")
+    out = one.select(P.looked_up(F.col("k"), {"a": "b"}).alias("a"), P.numeric_entries(F.col("m")).alias("b"), P.label_of_first(F.col("s"), "m", "n").alias("c")).collect()
+    assert [(r.a, r.b, r.c) for r in out] == [("b", {"x": 1.235}, "m:1"), ("z", None, "")]
+
+
+def test_pages_are_assessed(spark):
+    from docaudit.functions import html as H
+
+    article = "<title>Outlook</title><h1>Outlook</h1>" + "".join(f"<p>{'Growth and risk in markets. ' * 12}</p>" for _ in range(6))
+    listing = "<title>Home</title>" + "".join(f'<li><a href="/{i}">Item number {i}</a></li>' for i in range(40))
+    df = spark.createDataFrame([(1, article), (2, listing), (3, ""), (4, None)], "i int, h string").select("i", H.parse_html("h").alias("p"))
+    m = H.page_metrics(F.col("p"))
+    found = C.article_assessment(m, F.when(F.contains(F.col("p.text"), F.lit("risk")), 3).otherwise(0), F.col("p.title"))
+    got = {r.i: r for r in df.select("i", *(v.alias(k) for k, v in found.items())).collect()}
+    assert got[1].article_like and got[1].reject_reasons == [] and got[1].score > 60
+    assert {"link_heavy", "list_page", "generic_title"} <= set(got[2].reject_reasons) and not got[3].article_like and "too_short" in got[4].reject_reasons
+    css = spark.createDataFrame([("a{background:url(i.png)} b{x:url(data:y)}", "https://h/d/x.html"), (None, None)], "c string, b string")
+    assert [r.x for r in css.select(H.absolute_css("c", "b").alias("x")).collect()] == ['a{background:url("https://h/d/i.png")} b{x:url(data:y)}', None]
+    kinds = spark.createDataFrame([(10, 0, None), (500, 1, 0.1), (10, 1, 0.9), (500, 0, None)], "n int, v int, s double")
+    assert [r.k for r in kinds.select(C.page_kind(F.col("n"), F.col("v"), F.col("s")).alias("k")).collect()] == ["blank", "mixed", "full_visual", "text"]
