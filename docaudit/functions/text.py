@@ -208,6 +208,7 @@ def chunk_paragraphs(text: Column | str, size: int = 900, most: int = 80) -> Col
         last = F.element_at(done, -1)
         fits = (F.size(done) > 0) & (F.length(last) + F.length(p) <= size)
         head = F.slice(done, F.lit(1), F.size(done) - 1)
-        return F.when(fits, F.concat(head, F.array(F.concat(last, F.lit("\n"), p)))).otherwise(F.concat(done, F.array(p)))
+        more = F.when(fits, F.concat(head, F.array(F.concat(last, F.lit("\n"), p)))).otherwise(F.concat(done, F.array(p)))
+        return F.when(F.size(done) > most, done).otherwise(more)  # what comes later is not asked for
 
     return F.slice(F.aggregate(paragraphs, empty, add), 1, most)

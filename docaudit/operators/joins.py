@@ -104,10 +104,18 @@ def group_issues(modules: DataFrame, issues: DataFrame, key: list[str], module:
 def near_boxes(boxes: DataFrame, blocks: DataFrame, keys: list[str], id_column: str, box: str = "bbox", block_box: str = "block_box", text: str = "text", side: float = 80, above: float = 130, below: float = 170) -> DataFrame:
     """For each box the texts of the blocks of its page that lie near it, from the top down.
 
-    Equality on the page comes first; the range conditions run within it. ``keys`` name the page.
+    Boxes and blocks of a page (``keys``) meet only where they share a horizontal band: equality on page
+    and band comes first, and of the bands that both touch only the topmost yields the pair.
     """
-    joined = boxes.select(*keys, id_column, box).join(blocks.select(*keys, block_box, text), keys)
     b, k = F.col(box), F.col(block_box)
+    height = float(above + below)
+    band = lambda y: F.floor(y / height)
+    whole = lambda c: F.size(F.array_compact(c)) == 4
+    top, bottom = G.side(b, 1) - above, G.side(b, 3) + below
+    spread = lambda low, high: F.explode(F.sequence(band(low), F.greatest(band(low), band(high))))
+    reach = boxes.where(whole(b)).select(*keys, id_column, box, spread(top, bottom).alias("__band"))
+    placed = blocks.where(whole(k)).select(*keys, block_box, text, spread(G.side(k, 1), G.side(k, 3)).alias("__band"))
+    joined = reach.join(placed, [*keys, "__band"]).where(F.col("__band") == band(F.greatest(top, G.side(k, 1))))
     across = F.least(G.side(b, 2), G.side(k, 2)) - F.greatest(G.side(b, 0), G.side(k, 0))
     near = joined.where((across > -side) & (G.side(k, 3) >= G.side(b, 1) - above) & (G.side(k, 1) <= G.side(b, 3) + below))
     listed = near.groupBy(*keys, id_column).agg(F.array_sort(F.collect_list(F.struct(G.side(k, 1).alias("y"), F.col(text).alias("t")))).alias("__near"))
@@ -118,9 +126,12 @@ def near_boxes(boxes: DataFrame, blocks: DataFrame, keys: list[str], id_column:
 def suppress_overlaps(boxes: DataFrame, keys: list[str], id_column: str, score: str, box: str = "bbox", most_overlap: float = 0.6) -> DataFrame:
     """Boxes of each page, best first, without those that overlap one already kept by more than ``most_overlap``.
 
-    Greedy and so dependent on order: one page at a time, in Arrow batches. Null boxes are kept.
-    Ties go to the lesser id.
+    Greedy and so dependent on order: one page at a time, in Arrow batches. Boxes that are null or
+    whose page is not known are kept without being gathered. Ties go to the lesser id.
     """
+    known = F.col(box).isNotNull()
+    for c in keys:
+        known = known & F.col(c).isNotNull()
 
     def run(page: pd.DataFrame) -> pd.DataFrame:
         page = page.sort_values([score, id_column], ascending=[False, True], kind="stable")
@@ -145,14 +156,18 @@ def suppress_overlaps(boxes: DataFrame, keys: list[str], id_column: str, score:
                 kept.append(values)
         return page[flags]
 
-    return boxes.groupBy(*keys).applyInPandas(run, boxes.schema)
+    return boxes.where(known).groupBy(*keys).applyInPandas(run, boxes.schema).unionByName(boxes.where(~known))
 
 
 def cluster_boxes(boxes: DataFrame, keys: list[str], id_column: str, box: str = "bbox", gap: float = 12.0) -> DataFrame:
     """Clusters of boxes of a page that are within ``gap`` of each other, directly or by others: ``keys, id, cluster_id, x0, y0, x1, y1``.
 
     A sweep from left to right with union-find, one page at a time; the cluster is named by its least id.
+    Boxes that are null or whose page is not known belong to no cluster and have no row.
     """
+    known = F.col(box).isNotNull()
+    for c in keys:
+        known = known & F.col(c).isNotNull()
     schema = ", ".join(f"`{k}` {boxes.schema[k].dataType.simpleString()}" for k in [*keys, id_column]) + f", cluster_id {boxes.schema[id_column].dataType.simpleString()}, x0 double, y0 double, x1 double, y1 double"
 
     def run(page: pd.DataFrame) -> pd.DataFrame:
@@ -184,7 +199,7 @@ def cluster_boxes(boxes: DataFrame, keys: list[str], id_column: str, box: str =
             out.extend((*first, rows[i][0], name, *sides) for i in group)
         return pd.DataFrame(out, columns=[*keys, id_column, "cluster_id", "x0", "y0", "x1", "y1"])
 
-    return boxes.groupBy(*keys).applyInPandas(run, schema)
+    return boxes.where(known).groupBy(*keys).applyInPandas(run, schema)
 
 
 def table_outputs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -113,6 +113,14 @@ def distinct_centers(values: Column, gap: float) -> Column:
     return F.when(F.size(s) == 0, 0).otherwise(1 + F.aggregate(steps, F.lit(0), lambda a, x: a + x))
 
 
+def center_counts(df: DataFrame, by: list[str], value: Column, gap: float) -> DataFrame:
+    """``by, centers``: as ``distinct_centers``, over the rows of each group. A sort that can spill, so a hot group is never gathered."""
+    v = df.select(*by, value.alias("__v"))
+    before = F.lag("__v").over(Window.partitionBy(*by).orderBy(F.asc_nulls_last("__v")))
+    new = F.col("__v").isNotNull() & (before.isNull() | (F.col("__v") - before >= gap))
+    return v.withColumn("__new", new).groupBy(*by).agg(F.count_if("__new").alias("centers"))
+
+
 def over_budget(df: DataFrame, by: list[str], order: list[Column], cost: Column, most: int) -> DataFrame:
     """Whether the costs of the rows before have used up the budget; rows that cost nothing pass for free."""
     w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)

@@ -695,8 +695,8 @@ def object_places(spark, d):
     "SELECT report_id, CASE WHEN len(s)=0 THEN 0 ELSE 1+len(list_filter(range(2,len(s)+1), lambda i: s[i]-s[i-1]>=25)) END AS centers FROM (SELECT report_id, list_sort(list_filter(list((bbox[1]+bbox[3])/2), lambda x: x IS NOT NULL)) AS s FROM chart_candidates GROUP BY report_id)"
 )
 def distinct_centers(spark, d):
-    rows = table(spark, d, "chart_candidates").groupBy("report_id").agg(F.collect_list((F.get("bbox", 0) + F.get("bbox", 2)) / 2).alias("c"))
-    return rows.select("report_id", W.distinct_centers(F.col("c"), 25.0).alias("centers"))
+    middle = (F.get("bbox", 0) + F.get("bbox", 2)) / 2
+    return W.center_counts(table(spark, d, "chart_candidates").select("report_id", "bbox"), ["report_id"], middle, 25.0)
 
 
 @query("SELECT text_hash, min(doc_id) AS doc_id FROM (SELECT doc_id, md5(coalesce(text,'')) AS text_hash FROM documents) GROUP BY 1")

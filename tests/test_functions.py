@@ -144,3 +144,17 @@ def test_bytes_are_decoded_by_fallback(spark):
 
 def test_mojibake_repair(spark):
     assert texts(spark, X.repair_mojibake("t"), ["Ã¤", "plain", None, "中"]) == ["ä", "plain", None, "中"]
+
+
+def test_hostile_texts_end_in_time(spark):
+    import time
+
+    from docaudit.operators.units import record_quantities
+
+    long = ["(" * 100_000, "a=" * 50_000, "1 " * 60_000, "\n\n".join(["p"] * 30_000), "1,2" * 40_000, "．" * 50_000]
+    began = time.time()
+    for c in (F.size(X.chunk_paragraphs("t")), F.size(N.extract_numbers("t")), F.size(X.headings("t")), F.size(N.parse_quantities("t")), F.size(X.split_sentences("t")), X.slug("t"), X.unit_hints("t")):
+        assert len(texts(spark, c, long)) == len(long)
+    for t in long:
+        record_quantities([t, "5"], None, t, t, t, t)
+    assert time.time() - began < 60

@@ -72,7 +72,7 @@ def test_boxes_of_a_page(spark):
     df = spark.createDataFrame(box, "r string, page int, id int, bbox array<double>, score double")
     assert sorted(r.id for r in J.suppress_overlaps(df, ["r", "page"], "id", "score").collect()) == [2, 3, 4, 5]
     got = {r.id: r.cluster_id for r in J.cluster_boxes(df, ["r", "page"], "id", gap=5.0).collect()}
-    assert got == {1: 1, 2: 1, 3: 3, 5: 5}
+    assert got == {1: 1, 2: 1, 3: 3, 5: 5} and J.suppress_overlaps(df.withColumn("page", F.lit(None).cast("int")), ["r", "page"], "id", "score").count() == 5
     near = J.near_boxes(df, df.select("r", "page", F.col("bbox").alias("block_box"), F.col("id").cast("string").alias("text")), ["r", "page"], "id")
     assert {r.id: r.n_near for r in near.collect()}[4] == 0
 
@@ -259,3 +259,19 @@ def test_pages_are_assessed(spark):
     assert [r.x for r in css.select(H.absolute_css("c", "b").alias("x")).collect()] == ['a{background:url("https://h/d/i.png")} b{x:url(data:y)}', None]
     kinds = spark.createDataFrame([(10, 0, None), (500, 1, 0.1), (10, 1, 0.9), (500, 0, None)], "n int, v int, s double")
     assert [r.k for r in kinds.select(C.page_kind(F.col("n"), F.col("v"), F.col("s")).alias("k")).collect()] == ["blank", "mixed", "full_visual", "text"]
+
+
+def test_near_boxes_like_brute_force(spark):
+    rng = random.Random(7)
+    box = lambda: (lambda x, y: [x, y, x + rng.uniform(1, 200), y + rng.uniform(1, 400)])(rng.uniform(0, 500), rng.uniform(-50, 900))
+    items = [("r", rng.randint(1, 2), i, box()) for i in range(80)]
+    df = spark.createDataFrame(items, "r string, page int, id int, bbox array<double>")
+    got = {r.id: r.n_near for r in J.near_boxes(df, df.select("r", "page", F.col("bbox").alias("block_box"), F.col("id").cast("string").alias("text")), ["r", "page"], "id").collect()}
+    for _, p, i, b in items:
+        want = sum(p == q and min(b[2], k[2]) - max(b[0], k[0]) > -80 and k[3] >= b[1] - 130 and k[1] <= b[3] + 170 for _, q, _, k in items)
+        assert got[i] == want
+
+
+def test_center_counts(spark):
+    df = spark.createDataFrame([("a", 3.0), ("a", 1.0), ("a", None), ("a", 30.0), ("b", None)], "k string, v double")
+    assert rows(W.center_counts(df, ["k"], F.col("v"), 10.0), "k") == [("a", 2), ("b", 0)]
