@@ -254,7 +254,8 @@ def labelled_sample(items: DataFrame, label: str, text: str, texts: int = SAMPLE
     rows = items.select(F.substring(text, 1, SAMPLE_CHARS).alias("t"), normal_label(F.col(label)).alias("l"))
     total = max(1, items.count())
     share = min(1.0, 1.3 * texts / total)
-    chosen = rows.where(F.pmod(F.xxhash64("t"), F.lit(1_000_000)) < int(share * 1_000_000)).where("l is not null and length(t) > 20").limit(2 * texts).collect()
+    chosen = rows.where(F.pmod(F.xxhash64("t"), F.lit(1_000_000)) < int(share * 1_000_000)).where("l is not null and length(t) > 20")
+    chosen = chosen.dropDuplicates(["t"]).limit(2 * texts).collect()  # copies have one hash and must not fill the sample
     return [r.t for r in chosen], [r.l for r in chosen]
 
 

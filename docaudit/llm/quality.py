@@ -31,7 +31,8 @@ END = re.compile(r"""[.。！!？?…．]["'”’»」』)）\]]*$""")
 ENDISH = frozenset(".。！!？?…．\"”»」』:：;；,，)）’")
 MARKER = re.compile(r"\s*(?:[•·▪◦‣●○■□◆–—*>+-]|\[[ xX✓]?\]|☐|☑|\(?\d{1,4}[.)）、]|\(\d{1,4}\)|\(?[A-Za-z][.)]|\([ivxlc]+\)|[①-⑳])\s+(?=\S)")
 CELL = re.compile(r"\s*(?:[+−-]?[$€¥£]?[\d.,  '’]*\d[\d.,]*\s*[%‰]?|n\.?\s?/?a\.?|[-–—]+|:?-{3,}:?)\s*")
-CODE = re.compile(r"</?[a-zA-Z][^<>]{0,200}>|\{\{|\}\}|\b0x[0-9a-fA-F]{4,}|[\w.]+\s*=\s*\S+;\s*$")
+LONGEST_CELL = 40
+CODE = re.compile(r"</?[a-zA-Z][^<>]{0,200}>|\{\{|\}\}|\b0x[0-9a-fA-F]{4,32}\b|(?<![\w.])[\w.]{1,60}\s?=\s?\S{1,80};")
 BLOB = re.compile(r"[A-Za-z0-9+/=_-]{32,}")
 CJK = "぀-ヿ㐀-䶿一-鿿豈-﫿ｦ-ﾟ"
 HAS_CJK = re.compile(f"[{CJK}]")
@@ -55,7 +56,7 @@ def _cells(line: str, delimiter: str) -> list[str]:
 
 
 def _figures(cells: list[str]) -> int:
-    return sum(CELL.fullmatch(c) is not None for c in cells[1:])
+    return sum(len(c) <= LONGEST_CELL and CELL.fullmatch(c) is not None for c in cells[1:])
 
 
 def table_lines(lines: list[str]) -> list[bool]:
