@@ -194,8 +194,8 @@ def _cheapest(scores: np.ndarray, switch: float) -> np.ndarray:
     return out
 
 
-def text_segments(texts: list[str | None], model: LanguageModel, switch: float = SWITCH) -> list[list[tuple[int, str, float, bool]]]:
-    """Of each text its segments: first line (from 1), language, confidence, ambiguous."""
+def text_segments(texts: list[str | None], model: LanguageModel, switch: float = SWITCH) -> list[list[tuple[int, str, float, bool, int]]]:
+    """Of each text its segments: first line (from 1), language, confidence, whether ambiguous, words."""
     lines: list[list[str]] = []
     numbers: list[list[int]] = []
     for text in texts:
@@ -234,7 +234,7 @@ def text_segments(texts: list[str | None], model: LanguageModel, switch: float =
     at = 0
     for mine in numbers:
         n = len(mine)
-        segments: list[tuple[int, str, float, bool]] = []
+        segments: list[tuple[int, str, float, bool, int]] = []
         if n:
             part = scores[at : at + n]
             path = np.full(n, tops[at]) if (tops[at : at + n] == tops[at]).all() else _cheapest(part, switch)
@@ -243,7 +243,7 @@ def text_segments(texts: list[str | None], model: LanguageModel, switch: float =
                 total = model.decode(sums[at + a : at + b].sum(0, keepdims=True))[0]
                 chance = np.exp((total - total.max()) / 4)
                 confidence = float(chance[path[a]] / chance.sum())
-                segments.append((mine[a], LANGUAGES[path[a]], confidence, confidence < 0.8))
+                segments.append((mine[a], LANGUAGES[path[a]], confidence, confidence < 0.8, sum(map(len, lines[at + a : at + b]))))
         out.append(segments)
         at += n
     return out
@@ -260,14 +260,14 @@ def labelled_sample(items: DataFrame, label: str, text: str, texts: int = SAMPLE
 
 
 def language_segments(items: DataFrame, model: LanguageModel, label: str = "label", text: str = "text", keys: tuple[str, ...] = ("item_kind", "item_id"), switch: float = SWITCH) -> DataFrame:
-    """``keys, first_line int, language, confidence, ambiguous, label, is_case`` of each segment of each item.
+    """``keys, first_line int, language, confidence, ambiguous, words, label, is_case`` of each segment of each item.
 
     ``label`` comes out as the code it spells (null where missing). ``is_case``: the label is
     missing or another language, or the text has several. Null, empty and blank texts, tables of
     figures and junk have no segments. Repeated rows count like all others; extra columns are dropped.
     """
     kept = ", ".join(f"`{k}` {items.schema[k].dataType.simpleString()}" for k in keys)
-    schema = f"{kept}, first_line int, language string, confidence double, ambiguous boolean, label string, is_case boolean"
+    schema = f"{kept}, first_line int, language string, confidence double, ambiguous boolean, words int, label string, is_case boolean"
     source = items.select(*keys, normal_label(F.col(label)).alias("__label"), F.col(text).alias("__text"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -281,7 +281,7 @@ def language_segments(items: DataFrame, model: LanguageModel, label: str = "labe
                     given = labels[i]
                     case = len({s[1] for s in segments}) > 1 or any(s[1] != given for s in segments)
                     out.extend((*(c[i] for c in columns), *s, given, case) for s in segments)
-                yield pd.DataFrame(out, columns=[*keys, "first_line", "language", "confidence", "ambiguous", "label", "is_case"])
+                yield pd.DataFrame(out, columns=[*keys, "first_line", "language", "confidence", "ambiguous", "words", "label", "is_case"])
 
     return spread(source).mapInPandas(run, schema)
 
@@ -303,5 +303,17 @@ def p1_segments(spark, folder: str) -> DataFrame:
     return language_segments(items, fit(*labelled_sample(items, "label", "text")))
 
 
+def item_languages(segments: DataFrame, keys: tuple[str, ...] = ("item_kind", "item_id")) -> DataFrame:
+    """``keys, language, confidence, languages``: the language of most words of each item, how sure it is, and how
+    many languages the item has. The confidence is that of its segments times the share of its words."""
+    by_language = segments.groupBy(*keys, "language").agg(F.sum("words").alias("words"), (F.sum(F.col("confidence") * F.col("words")) / F.sum("words")).alias("sure"))
+    best = by_language.groupBy(*keys).agg(F.max_by(F.struct("language", "words", "sure"), F.struct("words", "language")).alias("b"), F.sum("words").alias("all"), F.count("*").cast("int").alias("languages"))
+    return best.select(*keys, F.col("b.language").alias("language"), (F.col("b.sure") * F.col("b.words") / F.col("all")).alias("confidence"), "languages")
+
+
+def p1_languages(spark, folder: str) -> DataFrame:
+    return item_languages(p1_segments(spark, folder))
+
+
 def p1_found(spark, folder: str) -> DataFrame:
     return p1_segments(spark, folder).where("is_case").select("item_kind", "item_id", "first_line", "language")

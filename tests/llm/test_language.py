@@ -36,8 +36,8 @@ def test_codewords_are_far_apart():
 def test_each_language_is_told(model):
     for k, lines in SAMPLES.items():
         for line in lines:
-            (first, found, confidence, ambiguous), = L.text_segments([line], model)[0]
-            assert (first, found, ambiguous) == (1, k, False) and confidence > 0.9
+            (first, found, confidence, ambiguous, words), = L.text_segments([line], model)[0]
+            assert (first, found, ambiguous) == (1, k, False) and confidence > 0.9 and words > 5
 
 
 def test_wrong_labels_are_overruled():
@@ -50,7 +50,7 @@ def test_wrong_labels_are_overruled():
 
 def test_segments(trained):
     text = "\n\n".join(["\n".join(SAMPLES["en"]), "\n".join(SAMPLES["zh"]), SAMPLES["de"][0] + " " + SAMPLES["de"][1]])
-    assert [(a, lang) for a, lang, _, _ in L.text_segments([text], trained)[0]] == [(1, "en"), (5, "zh"), (9, "de")]
+    assert [(a, lang) for a, lang, *_ in L.text_segments([text], trained)[0]] == [(1, "en"), (5, "zh"), (9, "de")]
     assert [s[1] for s in L.text_segments([text.upper()], trained)[0]] == ["en", "zh", "de"]
 
 
@@ -88,3 +88,6 @@ def test_operator(spark, trained):
     assert cases == {("2", 1, "en"), ("3", 1, "fr"), ("7", 1, "en"), ("7", 4, "ja")}
     assert sum(r.item_id == "1" for r in got) == 2 and {r.item_id for r in got} == {"1", "2", "3", "6", "7"}
     assert L.language_segments(df.limit(0), trained).count() == 0
+    whole = {r.item_id: r for r in L.item_languages(L.language_segments(df, trained)).collect()}
+    assert set(whole) == {"1", "2", "3", "6", "7"} and whole["3"].language == "fr" and whole["3"].confidence > 0.9
+    assert whole["7"].languages == 2 and 0.4 < whole["7"].confidence < 0.9
