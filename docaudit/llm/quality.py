@@ -25,6 +25,7 @@ from docaudit.session import spread
 
 PROSE, LIST, TABLE, JUNK = "prose", "list", "table", "junk"
 KINDS = (PROSE, LIST, TABLE, JUNK)
+MEASURES = ["word_count", "mean_word_length", "symbol_ratio", "ended_line_share", "common_word_share", "line_length_autocorrelation", "indent_autocorrelation"]
 
 #: Marks that end a sentence (closing quotes and brackets may follow).
 END = re.compile(r"""[.。！!？?…．]["'”’»」』)）\]]*$""")
@@ -47,6 +48,19 @@ MIXED = re.compile(r"[A-Za-z][01][A-Za-z]|\s[;:,.']\S|[;:,.'`][;:,.'`]|[a-z][;:,
 CONTROL = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x9f�]")
 
 
+def autocorrelation(values: list[int], most: int = 4) -> float:
+    """The highest correlation of a sequence with itself ``lag`` places on, for lags up to ``most``; 1 if it never changes, 0 if too short."""
+    n = len(values)
+    if n < 6:
+        return 0.0
+    x = np.array(values, float)
+    x -= x.mean()
+    power = float(x @ x)
+    if power == 0:
+        return 1.0
+    return max(float(x[lag:] @ x[:-lag]) / power * n / (n - lag) for lag in range(1, min(most, n // 3) + 1))
+
+
 def _cells(line: str, delimiter: str) -> list[str]:
     if delimiter == "  ":
         return WIDE_GAP.split(line.strip())
@@ -60,7 +74,7 @@ def _figures(cells: list[str]) -> int:
 
 
 def table_lines(lines: list[str]) -> list[bool]:
-    """Lines that belong to rows of aligned cells, most of them figures, at least two in a row."""
+    """Lines that belong to rows of aligned cells: at least two in a row with mostly figures, or three with tabs or bars."""
     out = [False] * len(lines)
     for delimiter in DELIMITERS:
         if not any(delimiter in line for line in lines):
@@ -75,6 +89,8 @@ def table_lines(lines: list[str]) -> list[bool]:
             off = delimiter == "  "  # a wide cell may touch the next one
             while j < len(lines) and (counts[j] == counts[i] or off and counts[j] > 1 and abs(counts[j] - counts[i]) == 1):
                 j += 1
+            if delimiter in "\t|" and j - i >= 3 and counts[i] >= 3:  # delimiters one below the other, whatever is between
+                out[i:j] = [True] * (j - i)
             if j - i >= 2 and not all(out[i:j]):
                 width = counts[i] - 1
                 full = [_figures(_cells(line, delimiter)) * 2 > width - off for line in lines[i:j]]
@@ -224,6 +240,11 @@ def line_kinds(text: str) -> tuple[list[str], list[str | None]]:
         i = marked[0]
         if len(lines[i]) > 80 or END.search(lines[i].rstrip()):
             kinds[i] = PROSE
+    # an indentation that returns in step: items, with or without what belongs to them below
+    indents = [len(line) - len(line.lstrip(" \t")) for line in lines if line.strip()]
+    if any(indents) and len(open_lines) * 2 > len(indents) and autocorrelation(indents) > 0.7:
+        for i in open_lines:
+            kinds[i] = LIST
     # short lines without an end, at least three on end: items of a list without markers
     run: list[int] = []
     filled = [i for i, k in enumerate(kinds) if k]
@@ -254,9 +275,9 @@ def kind_of(text: str | None) -> str | None:
 
 
 def text_statistics(text: str | None, common: frozenset[str], common_cjk: re.Pattern | None) -> tuple:
-    """words, mean word length, symbol ratio, share of lines that end in punctuation, share of common words."""
+    """words, mean word length, symbol ratio, shares of lines that end in punctuation and of common words, autocorrelation of line lengths and of indentations."""
     if text is None or not text.strip():
-        return 0, None, None, None, None
+        return 0, None, None, None, None, None, None
     words = WORD.findall(text)
     n = len(words)
     solid = sum(map(len, text.split()))
@@ -264,11 +285,13 @@ def text_statistics(text: str | None, common: frozenset[str], common_cjk: re.Pat
     lines = [s for s in map(str.rstrip, text.split("\n")) if s.strip()]
     ends = sum(END.search(s) is not None for s in lines)
     hits = sum(w in common for w in map(str.lower, words)) + (sum(len(m) for m in common_cjk.findall(text)) if common_cjk else 0)
-    return n, alnum / n if n else None, 1 - alnum / solid, ends / len(lines), hits / n if n else None
+    lengths, indents = [len(s) for s in lines], [len(s) - len(s.lstrip()) for s in lines]
+    return n, alnum / n if n else None, 1 - alnum / solid, ends / len(lines), hits / n if n else None, autocorrelation(lengths), autocorrelation(indents)
 
 
 def text_quality(df: DataFrame, words: list[str], key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, word_count, mean_word_length, symbol_ratio, ended_line_share, common_word_share, kind`` of each row.
+    """``key, word_count, mean_word_length, symbol_ratio, ended_line_share, common_word_share,
+    line_length_autocorrelation, indent_autocorrelation, kind`` of each row.
 
     A word is a run of letters and digits, or a single ideograph or kana. ``words`` are the
     common words of all languages. Null, empty and blank texts have 0 words and null else.
@@ -277,13 +300,13 @@ def text_quality(df: DataFrame, words: list[str], key: str = "doc_id", text: str
     spaced = frozenset(w.lower() for w in words if w and not HAS_CJK.search(w))
     joined = sorted((w for w in words if w and HAS_CJK.search(w)), key=len, reverse=True)
     pattern = re.compile("|".join(map(re.escape, joined))) if joined else None
-    schema = f"{key} {df.schema[key].dataType.simpleString()}, word_count long, mean_word_length double, symbol_ratio double, ended_line_share double, common_word_share double, kind string"
+    schema = f"{key} {df.schema[key].dataType.simpleString()}, word_count long, mean_word_length double, symbol_ratio double, ended_line_share double, common_word_share double, line_length_autocorrelation double, indent_autocorrelation double, kind string"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             texts = rows[text].tolist()
             found = [text_statistics(t, spaced, pattern) for t in texts]
-            out = pd.DataFrame(found, columns=["word_count", "mean_word_length", "symbol_ratio", "ended_line_share", "common_word_share"], index=rows.index)
+            out = pd.DataFrame(found, columns=MEASURES, index=rows.index)
             out.insert(0, key, rows[key])
             out["word_count"] = out["word_count"].astype(np.int64)
             yield out.assign(kind=[kind_of(t) for t in texts])

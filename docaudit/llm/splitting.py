@@ -29,7 +29,7 @@ NEVER = frozenset(
     "i.e e.g vs cf fig figs no nos est approx prev sec vol pp ch eq ref refs dr mr mrs ms prof st mt gen col sgt rev hon "
     "jan feb mar apr jun jul aug sep sept oct nov dec "
     "nr abb bzw ca vgl evtl ggf inkl zzgl sog bspw zb d.h z.b u.a u.u s.o s.u str tab kap art abs ziff jg hrsg mind max min "
-    "env p.ex c.-à-d m mme mlle art chap éd fr "
+    "env ex ej p.ex c.-à-d m mme mlle art chap éd fr "
     "aprox núm num pág págs cap fig p.ej sr sra srta dña ee aprox tel".split()
 )
 #: Abbreviations that may also end a sentence (fixed values).

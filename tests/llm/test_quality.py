@@ -11,6 +11,7 @@ CASES = [
     (PROSE, "prose"), (WRAPPED, "prose"), (PROSE.upper(), "prose"), ("Key risks", "prose"), ("资金净流入红利资产达到345.5亿元，为本系列统计以来的较高水平。风险是双向的。", "prose"), ("\n".join("> " + s for s in PROSE.split("\n")), "prose"),
     ("• banks\n• gold: 5%\n• Key risks\n• miners", "list"), ("(1) banks\n(2) gold\n(3) miners", "list"), ("Summary:\nbanks\ngold: 5%\nminers\ninsurers", "list"), ("miners, the Gulf, software, frontier markets, builders, cheap gas", "list"), ("半导体; 商品; 上場不動産; 小売; 銀行; 金", "list"), ("[ ] 黄金\n[ ] 家电: 9.8%\n[ ] 物流", "list"), ("gold | banks | Japan | miners | software | the Gulf", "list"),
     ("Name;Yield;Risk\nbanks;706;n.a.\nminers;+12.5;3%\ngold;n.a.;9", "table"), ("| A | B |\n|---|---|\n| x | 5 |\n| y | 7.5% |", "table"), ("Yield\tRate\nbanks\t5\t6\nminers\t7\t8", "table"), ("Target          Return\nbanks           550.27%\ngold            n.a.", "table"),
+    ("Rates\n  up again\n  and more\nBanks\n  flat\n  or less\nGold\n  down\n  by far", "list"), ("Name|Kind|Place\na|b|c\nd|e|f\ng|h|i", "table"),
     ("dSrwA8Sq3HGUFz5/TGUgCFKG8zkcv4W00ph0guzbSWhr+8ddRcYK67uDSWctw\nHF0EMZuukyXWk7mu9aac8czhHWebas18M85389Uut3mreQtV0YxXf4yCab1", "junk"), ("qkvqwkx=0x95c87f2e;\nqvqvvkwqz=0x95c94462;", "junk"), ("%-^_+\\&_>#_%=%=\\ &#=/| &/>/-&/=&.<*//%~|.&_>", "junk"), ("selelta" * 30, "junk"), ("私募信贷赚  " * 30, "junk"), ('<div class="c45"><span id="x1"></span>{{bbdeca}}</div>\n<div class="c40"></div>', "junk"), ("å¹³å=°æB¶ç´§éH>ç§/æ<6æK1ä¹9å><ï¼:OrpaxçH2å¹¿å?8", "junk"), ("cwci `w 1'Or .,i:w:l a:.;O nIlc;IlIm |avliiol0 'nm|`m :0:11O,,\n1ma: rro:' Ir n|011 va ; .i", "junk"),
     (None, None), ("", None), (" \n\t\r\n", None),
 ]
@@ -27,9 +28,10 @@ def test_most_characters_win():
 
 
 def test_statistics():
-    n, mean, symbols, ended, common = Q.text_statistics("The cat sat.\nno end\n\n中文", frozenset(["the"]), None)
+    n, mean, symbols, ended, common, lengths, indents = Q.text_statistics("The cat sat.\nno end\n\n中文", frozenset(["the"]), None)
     assert (n, ended) == (7, 1 / 3) and mean == 16 / 7 and common == 1 / 7 and 0 < symbols < 0.1
-    assert Q.text_statistics(None, frozenset(), None) == (0, None, None, None, None)
+    assert Q.text_statistics(None, frozenset(), None) == (0, None, None, None, None, None, None)
+    assert (lengths, indents) == (0.0, 0.0) and Q.autocorrelation([0, 2, 2] * 6) > 0.9 and Q.autocorrelation([3] * 9) == 1.0 and Q.autocorrelation([5, 1, 9, 2, 7, 3, 8, 1, 2, 9]) < 0.7
     assert Q.text_statistics("?!", frozenset(), None)[0] == 0
 
 
