@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import sys
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +25,29 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     )
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the workers, once per application, unless they find it by themselves."""
+    package = os.path.dirname(os.path.abspath(__file__))
+    root, name = os.path.split(package)
+    context = spark.sparkContext
+    known = [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if context.applicationId in _SHIPPED or not os.path.isdir(package) or root in map(os.path.abspath, known) or (context.master.startswith("local[") and os.getcwd() == root):
+        return
+    path = os.path.join(tempfile.mkdtemp(prefix="docaudit-ship-"), f"{name}.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, files in os.walk(package):
+            for file in files:
+                if file.endswith((".py", ".npz")):
+                    full = os.path.join(folder, file)
+                    out.write(full, os.path.relpath(full, root))
+    context.addPyFile(path)
+    sys.path[:] = [p for p in sys.path if p != path]  # the driver keeps its own files
+    _SHIPPED.add(context.applicationId)
+
+
 def shared_checkpoint(df: DataFrame, eager: bool = True) -> DataFrame:
     """Cut the lineage of ``df`` in the folder that all executors share.
 
