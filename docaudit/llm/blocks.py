@@ -10,7 +10,9 @@ Pages are batched by length and run through the network together; nothing is shu
 
 from __future__ import annotations
 
+import io
 import os
+import pkgutil
 import re
 import unicodedata
 import zlib
@@ -103,7 +105,9 @@ def lstm(x: np.ndarray, w: np.ndarray, u: np.ndarray, b: np.ndarray) -> np.ndarr
 
 class BlockLabeller:
     def __init__(self, path: str = WEIGHTS):
-        with np.load(path) as stored:
+        # the package may have come as an archive
+        source = path if os.path.exists(path) else io.BytesIO(pkgutil.get_data(__package__, os.path.basename(path)))
+        with np.load(source) as stored:
             self.weights = {k: stored[k].astype(np.float32) for k in stored.files}
         self.known: dict[str, np.ndarray] = {}
 
