@@ -13,6 +13,31 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from docaudit.operators.joins import pick_one
+from docaudit.session import shared_checkpoint
+
+
+def ranked(df: DataFrame, by: list[str], order: list[Column], out: str = "rank", by_sort: bool = False) -> DataFrame:
+    """``df`` with the place of each row in its group, from 1.
+
+    A window takes each group in one task. With ``by_sort`` the rows are sorted as a whole, which
+    splits a hot group over many tasks, and written to the shared folder; a row's place is its place
+    in its part plus the sizes of the parts of its group before it. The same ranks, for groups that
+    may hold a large share of all rows. ``order`` must leave no ties. Null keys are a group.
+    """
+    if not by_sort:
+        return df.withColumn(out, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
+    rows = df.drop(out).orderBy(*by, *order).withColumn("__at", F.monotonically_increasing_id())
+    rows = shared_checkpoint(rows)
+    rows = rows.withColumn("__part", F.shiftright("__at", 33))
+    keys = [F.col(b).alias(f"__k{i}") for i, b in enumerate(by)]
+    parts = rows.groupBy(*keys, F.col("__part").alias("__p")).agg(F.min("__at").alias("__first"), F.count("*").alias("__n"))
+    before = F.sum("__n").over(Window.partitionBy(*(f"__k{i}" for i in range(len(by)))).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1))
+    parts = parts.withColumn("__before", F.coalesce(before, F.lit(0)))  # a row per group and task
+    same = F.col("__part") == F.col("__p")
+    for i, b in enumerate(by):
+        same = same & F.col(b).eqNullSafe(F.col(f"__k{i}"))
+    joined = rows.join(parts, same)
+    return joined.withColumn(out, (F.col("__before") + F.col("__at") - F.col("__first") + 1).cast("int")).select(*df.drop(out).columns, out)
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -31,17 +56,16 @@ def top_per_group(df: DataFrame, by: list[str], order: list[Column], n: int, ran
     return df.withColumn(rank, F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col(rank) <= n)
 
 
-def top_with_overflow(df: DataFrame, by: list[str], order: list[Column], n: int) -> DataFrame:
+def top_with_overflow(df: DataFrame, by: list[str], order: list[Column], n: int, by_sort: bool = False) -> DataFrame:
     """All rows with their rank and whether they are within the first ``n``; the overflow stays for the audit."""
-    ranked = df.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
-    return ranked.withColumn("selected", F.col("rank") <= n)
+    return ranked(df, by, order, "rank", by_sort).withColumn("selected", F.col("rank") <= n)
 
 
-def uniquify(df: DataFrame, column: str, order: list[Column], out: str = "unique_id", longest: int = 90) -> DataFrame:
+def uniquify(df: DataFrame, column: str, order: list[Column], out: str = "unique_id", longest: int = 90, by_sort: bool = False) -> DataFrame:
     """Unique ids: the n-th row with an id gets the suffix _n, the id being cut to make room for it."""
-    n = F.row_number().over(Window.partitionBy(column).orderBy(*order))
+    n = F.col("__rn")
     suffix = F.when(n > 1, F.concat(F.lit("_"), n.cast("string"))).otherwise(F.lit(""))
-    return df.withColumn(out, F.concat(F.substring(F.col(column), F.lit(1), F.lit(longest) - F.length(suffix)), suffix))
+    return ranked(df, [column], order, "__rn", by_sort).withColumn(out, F.concat(F.substring(F.col(column), F.lit(1), F.lit(longest) - F.length(suffix)), suffix)).drop("__rn")
 
 
 def cap_per_group(df: DataFrame, group: str, key: str, order: list[Column], most: int) -> DataFrame:
@@ -65,14 +89,18 @@ def stratified(df: DataFrame, by: list[str], score: str, tie: str, most: int) ->
     """
     low, high = most // 3, -(-most // 3)
     middle = most - low - high
-    w = Window.partitionBy(*by)
-    ranked = df.withColumn("__rn", F.row_number().over(w.orderBy(F.col(score).asc_nulls_first(), F.col(tie)))).withColumn("__n", F.count("*").over(w))
+    places = ranked(df, by, [F.col(score).asc_nulls_first(), F.col(tie)], "__rn", by_sort=True)  # strata are few, so large
+    sizes = df.groupBy(*(F.col(b).alias(f"__s{i}") for i, b in enumerate(by))).agg(F.count("*").alias("__n"))
+    same = F.lit(True)
+    for i, b in enumerate(by):
+        same = same & F.col(b).eqNullSafe(F.col(f"__s{i}"))
+    placed = places.join(sizes, same).drop(*(f"__s{i}" for i in range(len(by))))
     rn, n = F.col("__rn"), F.col("__n")
     step = F.greatest(F.lit(1), F.floor(n / F.lit(max(1, middle))).cast("int"))
     at = rn - low - 1
     in_middle = (rn > low) & (rn <= n - high) & (at % step == 0) & (F.floor(at / step) < middle)
     band = F.when(n <= most, "all").when(rn <= low, "low").when(rn > n - high, "high").when(in_middle, "middle")
-    return ranked.withColumn("band", band).where(F.col("band").isNotNull()).drop("__rn", "__n")
+    return placed.withColumn("band", band).where(F.col("band").isNotNull()).drop("__rn", "__n")
 
 
 def neighbours(df: DataFrame, by: list[str], position: str, text: str, k: int = 1, out: str = "context", joiner: str = "\n\n") -> DataFrame:
@@ -121,10 +149,32 @@ def center_counts(df: DataFrame, by: list[str], value: Column, gap: float) -> Da
     return v.withColumn("__new", new).groupBy(*by).agg(F.count_if("__new").alias("centers"))
 
 
-def over_budget(df: DataFrame, by: list[str], order: list[Column], cost: Column, most: int) -> DataFrame:
+def running_before(df: DataFrame, by: list[str], order: list[Column], value: Column, out: str = "before", by_sort: bool = False) -> DataFrame:
+    """``df`` with the sum of a value over the rows of its group that come before; 0 for the first.
+
+    With ``by_sort`` as in ``ranked``: sums within the sorted parts, and those of the parts before.
+    """
+    frame = (Window.unboundedPreceding, -1)
+    if not by_sort:
+        w = Window.partitionBy(*by).orderBy(*order).rowsBetween(*frame)
+        return df.withColumn(out, F.coalesce(F.sum(value).over(w), F.lit(0)))
+    rows = df.drop(out).withColumn("__v", F.coalesce(value, F.lit(0))).orderBy(*by, *order).withColumn("__at", F.monotonically_increasing_id())
+    rows = shared_checkpoint(rows).withColumn("__part", F.shiftright("__at", 33))
+    names = [f"__k{i}" for i in range(len(by))]
+    parts = rows.groupBy(*(F.col(b).alias(n) for b, n in zip(by, names, strict=True)), F.col("__part").alias("__p")).agg(F.sum("__v").alias("__sum"))
+    parts = parts.withColumn("__base", F.coalesce(F.sum("__sum").over(Window.partitionBy(*names).orderBy("__p").rowsBetween(*frame)), F.lit(0)))
+    same = F.col("__part") == F.col("__p")
+    for b, n in zip(by, names, strict=True):
+        same = same & F.col(b).eqNullSafe(F.col(n))
+    local = F.coalesce(F.sum("__v").over(Window.partitionBy(*by, "__part").orderBy("__at").rowsBetween(*frame)), F.lit(0))
+    return rows.withColumn("__local", local).join(parts, same).withColumn(out, F.col("__base") + F.col("__local")).select(*df.drop(out).columns, out)
+
+
+def over_budget(df: DataFrame, by: list[str], order: list[Column], cost: Column, most: int, by_sort: bool = False) -> DataFrame:
     """Whether the costs of the rows before have used up the budget; rows that cost nothing pass for free."""
-    w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn("spent_before", F.coalesce(F.sum(cost).over(w), F.lit(0))).withColumn("skipped", (F.col("spent_before") >= most) & (cost > 0))
+    rows = df.withColumn("__cost", cost)
+    spent = running_before(rows, by, order, F.col("__cost"), "spent_before", by_sort)
+    return spent.withColumn("skipped", F.coalesce((F.col("spent_before") >= most) & (F.col("__cost") > 0), F.lit(False))).drop("__cost")
 
 
 def flag_repeats(df: DataFrame, key: str, flag: str) -> DataFrame:

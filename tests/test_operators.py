@@ -275,3 +275,23 @@ def test_near_boxes_like_brute_force(spark):
 def test_center_counts(spark):
     df = spark.createDataFrame([("a", 3.0), ("a", 1.0), ("a", None), ("a", 30.0), ("b", None)], "k string, v double")
     assert rows(W.center_counts(df, ["k"], F.col("v"), 10.0), "k") == [("a", 2), ("b", 0)]
+
+
+def test_ranks_by_sort_are_those_of_a_window(spark):
+    rng = random.Random(9)
+    items = [(rng.choice(["hot", "hot", "hot", "a", None]), rng.randint(0, 5), i) for i in range(3000)]
+    df = spark.createDataFrame(items, "k string, s int, i int").repartition(7)
+    order = [F.desc("s"), F.col("i")]
+    a = {r.i: r.rank for r in W.ranked(df, ["k"], order).collect()}
+    b = {r.i: r.rank for r in W.ranked(df, ["k"], order, by_sort=True).collect()}
+    assert a == b and len(a) == 3000 and W.ranked(df.limit(0), ["k"], order, by_sort=True).count() == 0
+    ids = W.uniquify(df.select(F.coalesce("k", F.lit("n")).alias("k"), "i"), "k", [F.col("i")], "u", by_sort=True)
+    assert ids.select("u").distinct().count() == 3000
+
+
+def test_running_sums_by_sort(spark):
+    rng = random.Random(4)
+    df = spark.createDataFrame([(rng.choice(["hot", "hot", "a", None]), i, rng.choice([0, 1, 2, None])) for i in range(2000)], "k string, i int, c int").repartition(6)
+    a = {r.i: (r.spent_before, r.skipped) for r in W.over_budget(df, ["k"], [F.col("i")], F.col("c"), 50).collect()}
+    b = {r.i: (r.spent_before, r.skipped) for r in W.over_budget(df, ["k"], [F.col("i")], F.col("c"), 50, by_sort=True).collect()}
+    assert a == b and len(a) == 2000
