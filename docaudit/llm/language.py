@@ -44,6 +44,7 @@ SAMPLE_CHARS = 4_000  # of a text of the sample
 SWITCH = 22.0  # price of a change of language between two lines
 UNKNOWN_WORD = 0.35  # weight of a word that the sample has hardly seen, such as a name
 UNIT_TABLE = 300_000
+LONG_WORD = re.compile("[a-zà-öø-ɏ]{31}")
 UNIT = re.compile("[぀-ヿ㐀-䶿一-鿿豈-﫿ｦ-ﾟ]|[a-zà-öø-ɏ]+(?:['’][a-zà-öø-ɏ]+)?")
 
 
@@ -112,11 +113,13 @@ class LanguageModel:
                 if k is None:
                     k = known.get(units[i])
                     found[i] = self._add(units[i]) if k is None else k
-        ends = np.cumsum([len(line) for line in lines], dtype=np.int64)
-        total = np.zeros((len(units) + 1, BITS), np.float64)
-        if units:
-            np.cumsum(self.vectors[np.array(found, np.int64)], axis=0, out=total[1:], dtype=np.float64)
-        return np.diff(total[ends], axis=0, prepend=total[:1])
+        out = np.zeros((len(lines), BITS))
+        sizes = np.array([len(line) for line in lines], np.int64)
+        some = np.flatnonzero(sizes)
+        if len(some):
+            starts = (np.cumsum(sizes) - sizes)[some]
+            out[some] = np.add.reduceat(self.vectors[np.array(found, np.int64)], starts, axis=0)
+        return out
 
     def decode(self, sums: np.ndarray) -> np.ndarray:
         """For each row of bit scores the negative weighted loss of each language's codeword."""
@@ -201,12 +204,12 @@ def text_segments(texts: list[str | None], model: LanguageModel, switch: float =
     for text in texts:
         mine: list[int] = []
         if text and not text.isspace():
-            found = [UNIT.findall(line) for line in text.lower().split("\n")]
+            lowered = text.lower()
+            found = [UNIT.findall(line) for line in lowered.split("\n")]
             letters = sum(sum(map(len, units)) for units in found)
             solid = len(text) - text.count(" ") - text.count("\n")
-            longest = max((len(u) for units in found for u in units), default=0)
             kinds = None
-            if letters < 0.82 * solid or longest > 30 or text.count("|") + text.count("\t") > 3 or quality.repeated(text.strip()):
+            if letters < 0.82 * solid or LONG_WORD.search(lowered) or text.count("|") + text.count("\t") > 3 or quality.repeated(text.strip()):
                 _, kinds = quality.line_kinds(text) if not quality.repeated(text.strip()) else (None, [quality.JUNK] * len(found))
                 if len(kinds) != len(found):
                     kinds = None
