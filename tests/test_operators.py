@@ -211,6 +211,14 @@ def test_evidence(spark):
     assert support[1] and support[5] and not support[2]
 
 
+def test_evidence_numbers_in_another_scale(spark):
+    docs = spark.createDataFrame([("r", "It was quiet.\n\nThey took in 1,200 million that year.\n\nThen 0.3% and 7 units.")], "r string, t string")
+    facts = spark.createDataFrame([("r", 1, "1.2 billion"), ("r", 2, "1.2 billion, 9%"), ("r", 3, "25 bps"), ("r", 4, "1200000000 or 5 times")], "r string, f int, c string")
+    got = E.evidence_packs(facts, E.chunked(docs, "r", "t", 30), "r", "f", "c", 1).orderBy("f").collect()
+    # the number part weighs 0.35; a percentage and basis points are classes of their own, also in the reference
+    assert [(r.f, r.chunk_index, r.score) for r in got] == [(1, 1, 0.35), (2, 1, 0.175), (3, 0, 0.0), (4, 1, 0.175)]
+
+
 def test_filters(spark):
     from docaudit.operators import filters as FI
 
