@@ -23,6 +23,11 @@ def text_or_empty(text: Column | str) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
+def first(items: Column, most: int | None) -> Column:
+    """The first ``most`` items of an array, all of them with None."""
+    return items if most is None else F.slice(items, 1, most)
+
+
 @F.pandas_udf(T.StringType())
 def nfkc(texts: pd.Series) -> pd.Series:
     """Unicode compatibility composition, which Spark has no builtin for; null stays null."""
@@ -123,8 +128,11 @@ def lines(text: Column | str) -> Column:
     return F.filter(trimmed, lambda s: s != "")
 
 
-def headings(text: Column | str, most: int = 40, longest: int = 110, words: int = 12, topics: list[str] | None = None) -> Column:
-    """Lines that look like headings: short, without a sentence end, in title or upper case, numbered or with a topic word."""
+def headings(text: Column | str, most: int | None = None, longest: int = 110, words: int = 12, topics: list[str] | None = None) -> Column:
+    """Lines that look like headings: short, without a sentence end, in title or upper case, numbered or with a topic word.
+
+    All of them, or the first ``most``.
+    """
     topics = topics or ["outlook", "summary", "risk", "scenario", "strategy", "展望", "风险", "观点", "小结", "情景"]
     marked = F.array(*map(F.lit, topics))
 
@@ -133,7 +141,7 @@ def headings(text: Column | str, most: int = 40, longest: int = 110, words: int
         topical = F.exists(marked, lambda t: F.contains(F.lower(s), t))
         return (F.length(s) <= longest) & (F.size(F.split(s, " ")) <= words) & ~s.rlike(r"[.。!?！？;；,，]$") & (cased | topical)
 
-    return F.slice(F.filter(lines(text), is_heading), 1, most)
+    return first(F.filter(lines(text), is_heading), most)
 
 
 def infer_title(text: Column | str, fallback: Column | None = None, shortest: int = 4, longest: int = 160) -> Column:

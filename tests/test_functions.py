@@ -38,6 +38,12 @@ def test_sentences_are_split_behind_ends(spark):
     assert got == ["This is the first of the sentences.", "And this is the second of them!", "A third one without any end mark at all"]
 
 
+def test_headings_are_not_cut(spark):
+    text = "\n".join(f"{i}. Outlook\nand then it went on like this." for i in range(300))
+    assert texts(spark, X.headings("t"), [text])[0] == [f"{i}. Outlook" for i in range(300)]
+    assert texts(spark, X.headings("t", 40), [text])[0] == [f"{i}. Outlook" for i in range(40)]
+
+
 def test_chunks_keep_order_and_text(spark):
     text = "\n\n".join(["a" * 400, "b" * 400, "c" * 400, "d" * 1500, "e"])
     got = texts(spark, X.chunk_paragraphs("t", 900), [text])[0]
