@@ -63,11 +63,15 @@ def contains_fuzzy(needle: Column, haystack: Column, threshold: float = 0.42) ->
     return (needle != "") & within
 
 
-def split_sentences(text: Column | str, shortest: int = 25, longest: int = 1200, most: int = 1000) -> Column:
-    """Sentences behind sentence ends or line breaks, of at least ``shortest`` characters, each cut to ``longest``."""
+def split_sentences(text: Column | str, shortest: int = 25, longest: int | None = None, most: int | None = None) -> Column:
+    """Sentences behind sentence ends or line breaks, of at least ``shortest`` characters.
+
+    All of them and whole, or the first ``most``, each cut to ``longest`` (1,200 and 1,000 in the published SQL).
+    """
     raw = F.split(text_or_empty(text), r"(?<=[。！？.!?])[\t-\r\x{85}\p{Z}]+|\n+")
     trimmed = F.transform(raw, lambda s: F.regexp_replace(s, r"^[\t-\r\x{85}\p{Z}]+|[\t-\r\x{85}\p{Z}]+$", ""))
-    return F.slice(F.transform(F.filter(trimmed, lambda s: F.length(s) >= shortest), lambda s: F.substring(s, 1, longest)), 1, most)
+    kept = F.filter(trimmed, lambda s: F.length(s) >= shortest)
+    return first(kept if longest is None else F.transform(kept, lambda s: F.substring(s, 1, longest)), most)
 
 
 def fingerprint(text: Column) -> Column:
@@ -203,10 +207,10 @@ def blob(*parts: Column | str) -> Column:
     return collapse_spaces(F.concat_ws(" ", *parts))
 
 
-def chunk_paragraphs(text: Column | str, size: int = 900, most: int = 80) -> Column:
+def chunk_paragraphs(text: Column | str, size: int = 900, most: int | None = None) -> Column:
     """Paragraphs packed in order into chunks of up to ``size`` characters; a longer paragraph is a chunk of its own.
 
-    A text without paragraphs is cut every ``size`` characters.
+    All of them, or the first ``most`` (80 in the reference). A text without paragraphs is cut every ``size`` characters.
     """
     t = text_or_empty(text)
     paragraphs = F.filter(F.transform(F.split(t, r"\n[\t-\r\x{85}\p{Z}]*\n+"), lambda p: F.trim(p)), lambda p: p != "")
@@ -217,6 +221,6 @@ def chunk_paragraphs(text: Column | str, size: int = 900, most: int = 80) -> Col
         fits = (F.size(done) > 0) & (F.length(last) + F.length(p) <= size)
         head = F.slice(done, F.lit(1), F.size(done) - 1)
         more = F.when(fits, F.concat(head, F.array(F.concat(last, F.lit("\n"), p)))).otherwise(F.concat(done, F.array(p)))
-        return F.when(F.size(done) > most, done).otherwise(more)  # what comes later is not asked for
+        return more if most is None else F.when(F.size(done) > most, done).otherwise(more)  # what comes later is not asked for
 
-    return F.slice(F.aggregate(paragraphs, empty, add), 1, most)
+    return first(F.aggregate(paragraphs, empty, add), most)

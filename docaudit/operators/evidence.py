@@ -12,13 +12,13 @@ from docaudit.functions import text as X
 RETRIEVAL_WEIGHTS = {"token_overlap": 0.50, "number_similarity": 0.35, "hint_overlap": 0.10, "date_similarity": 0.05}
 
 
-def chunked(documents: DataFrame, key: str, text: str, size: int = 900, neighbours: int = 0) -> DataFrame:
-    """``key, chunks``: for each document up to 80 chunks with their text, tokens, numbers and quantities.
+def chunked(documents: DataFrame, key: str, text: str, size: int = 900, neighbours: int = 0, most: int | None = None) -> DataFrame:
+    """``key, chunks``: for each document its chunks, or the first ``most``, with their text, tokens, numbers and quantities.
 
     With ``neighbours`` each chunk is read together with as many before and after it. A document is one
     row, so nothing is shuffled, and tokens are taken once per chunk instead of once per pair.
     """
-    chunks = X.chunk_paragraphs(F.col(text), size)
+    chunks = X.chunk_paragraphs(F.col(text), size, most)
     spread = documents.select(key, chunks.alias("__c"))
     wide = F.transform("__c", lambda _, i: F.array_join(F.slice(F.col("__c"), F.greatest(F.lit(1), i + 1 - neighbours), F.lit(neighbours) + F.least(i, F.lit(neighbours)) + 1), "\n\n")) if neighbours else F.col("__c")
     spread = spread.select(key, wide.alias("__w")).select(key, "__w", N.parse_quantities_each("__w").alias("__q"))
@@ -29,7 +29,7 @@ def chunked(documents: DataFrame, key: str, text: str, size: int = 900, neighbou
 def evidence_packs(facts: DataFrame, chunks: DataFrame, key: str, fact_id: str, claim: str, top_k: int = 5, hint: str | None = None, weights: dict[str, float] = RETRIEVAL_WEIGHTS) -> DataFrame:
     """For each fact the best chunks of its document: ``key, fact_id, rank, chunk_index, score, snippet``.
 
-    The chunks of a document arrive as one bounded array, so facts and chunks are never crossed by a
+    The chunks of a document arrive as one array, so facts and chunks are never crossed by a
     shuffle: scores are computed within the row. Chunks with a positive score are ranked by it, ties by
     position; a fact that nothing supports has chunk 0 with score 0, one whose document has no chunks no row.
     """

@@ -91,18 +91,40 @@ SELECT doc_id, pos, s AS sentence FROM (
 """
 
 
+def _sentences(spark, d, **cuts):
+    rows = table(spark, d, "documents").select("doc_id", F.posexplode(X.split_sentences(F.replace("text", F.lit("\x01"), F.lit(" ")), **cuts)).alias("p", "sentence"))
+    return rows.select("doc_id", (F.col("p") + 1).alias("pos"), "sentence")
+
+
 @query(_SENT)
 def sentences(spark, d):
-    rows = table(spark, d, "documents").select("doc_id", F.posexplode(X.split_sentences(F.replace("text", F.lit("\x01"), F.lit(" ")))).alias("p", "sentence"))
-    return rows.select("doc_id", (F.col("p") + 1).alias("pos"), "sentence")
+    return _sentences(spark, d, longest=1200, most=1000)  # as in the SQL
+
+
+def _fingerprints(rows):
+    return rows.groupBy("doc_id").agg(F.count_distinct(X.fingerprint(F.lower("sentence"))).alias("distinct_sentences"), F.count("*").alias("n_sentences"))
 
 
 @query(
     f"SELECT doc_id, count(DISTINCT regexp_replace(lower(sentence),'[^\\p{{L}}\\p{{N}}]+','','g')) AS distinct_sentences, count(*) AS n_sentences FROM ({_SENT}) GROUP BY doc_id"
 )
 def sentence_fingerprints(spark, d):
-    rows = sentences(spark, d)
-    return rows.groupBy("doc_id").agg(F.count_distinct(X.fingerprint(F.lower("sentence"))).alias("distinct_sentences"), F.count("*").alias("n_sentences"))
+    return _fingerprints(sentences(spark, d))
+
+
+_SENT_WHOLE = _SENT.replace("list_transform(list_filter(", "list_filter(").replace("), lambda x: substring(x,1,1200))[1:1000] AS l", ") AS l")
+
+
+@query(_SENT_WHOLE)
+def sentences_whole(spark, d):
+    return _sentences(spark, d)
+
+
+@query(
+    f"SELECT doc_id, count(DISTINCT regexp_replace(lower(sentence),'[^\\p{{L}}\\p{{N}}]+','','g')) AS distinct_sentences, count(*) AS n_sentences FROM ({_SENT_WHOLE}) GROUP BY doc_id"
+)
+def sentence_fingerprints_whole(spark, d):
+    return _fingerprints(sentences_whole(spark, d))
 
 
 @query(

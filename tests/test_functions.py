@@ -38,6 +38,23 @@ def test_sentences_are_split_behind_ends(spark):
     assert got == ["This is the first of the sentences.", "And this is the second of them!", "A third one without any end mark at all"]
 
 
+def test_nothing_is_cut_unless_asked(spark):
+    text = "\n".join([f"The {i}th sentence of a long text." for i in range(1500)] + ["a long list " * 200])
+    got = texts(spark, X.split_sentences("t"), [text])[0]
+    assert len(got) == 1501 and got[-1] == ("a long list " * 200).strip()
+    cut = texts(spark, X.split_sentences("t", longest=10, most=1400), [text])[0]
+    assert len(cut) == 1400 and {len(s) for s in cut} == {10}
+    numbers = " ; ".join(map(str, range(1, 801)))
+    assert texts(spark, N.extract_numbers("t"), [numbers])[0] == [str(i) for i in range(1, 801)]
+    assert len(texts(spark, N.extract_numbers("t", 500), [numbers])[0]) == 500
+    dates = " ; ".join(f"20{i % 100:02}-05" for i in range(300))
+    assert len(texts(spark, N.extract_dates("t"), [dates])[0]) == 300
+    assert len(texts(spark, N.extract_dates("t", 200), [dates])[0]) == 200
+    parts = "\n\n".join(f"{i:03}" + "x" * 700 for i in range(200))
+    assert [c[:3] for c in texts(spark, X.chunk_paragraphs("t"), [parts])[0]] == [f"{i:03}" for i in range(200)]
+    assert len(texts(spark, X.chunk_paragraphs("t", 900, 80), [parts])[0]) == 80
+
+
 def test_headings_are_not_cut(spark):
     text = "\n".join(f"{i}. Outlook\nand then it went on like this." for i in range(300))
     assert texts(spark, X.headings("t"), [text])[0] == [f"{i}. Outlook" for i in range(300)]
