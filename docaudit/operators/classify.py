@@ -27,9 +27,13 @@ def parse_quality(text: Column, failed: Column | None = None, most_mojibake: flo
     return first_rule([((failed if failed is not None else F.lit(False)) & (n == 0), "failed"), (X.mojibake_ratio(text) > most_mojibake, "poor"), (n > 12000, "excellent"), (n > 5000, "good"), (n > 1000, "fair")], "poor")
 
 
-def subtype(title: Column, text: Column, keywords: dict[str, list[str]], default: str) -> Column:
-    """The subtype most of whose keywords occur in the title and the start of the text; of equals the first."""
-    return keyword_vote(F.concat_ws(" ", title, F.substring(X.text_or_empty(text), 1, 3000)), keywords, default)
+def subtype(title: Column, text: Column, keywords: dict[str, list[str]], default: str, prefix: int | None = None) -> Column:
+    """The subtype most of whose keywords occur in the title and the text; of equals the first.
+
+    The whole text, or its first ``prefix`` characters (3,000 in the reference).
+    """
+    t = X.text_or_empty(text)
+    return keyword_vote(F.concat_ws(" ", title, t if prefix is None else F.substring(t, 1, prefix)), keywords, default)
 
 
 def size_tier(size: Column, pages: Column, quality: Column, kind: Column, deep_kinds: list[str]) -> Column:

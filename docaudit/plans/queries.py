@@ -278,12 +278,20 @@ def parse_quality(spark, d):
     return table(spark, d, "extracted_documents").select("extract_id", C.parse_quality(F.col("text_excerpt"), warned).alias("quality"))
 
 
-@query(
+_SUBTYPE = (
     "SELECT doc_id, CASE WHEN list_max(v)>0 THEN " + _list(list(SUBTYPES)) + "[list_position(v,list_max(v))] ELSE 'thematic_strategy' END AS guessed FROM (SELECT doc_id, ["
     + ",".join("+".join(f"contains(h,'{k}')::INT" for k in ks) for ks in SUBTYPES.values())
     + "] AS v FROM (SELECT doc_id, lower(concat_ws(' ', title, substring(coalesce(text,''),1,3000))) AS h FROM documents))"
 )
+
+
+@query(_SUBTYPE)
 def subtype_vote(spark, d):
+    return table(spark, d, "documents").select("doc_id", C.subtype(F.col("title"), F.col("text"), SUBTYPES, "thematic_strategy", 3000).alias("guessed"))  # as in the SQL
+
+
+@query(_SUBTYPE.replace("substring(coalesce(text,''),1,3000)", "coalesce(text,'')"))
+def subtype_vote_whole(spark, d):
     return table(spark, d, "documents").select("doc_id", C.subtype(F.col("title"), F.col("text"), SUBTYPES, "thematic_strategy").alias("guessed"))
 
 

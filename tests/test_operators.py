@@ -201,6 +201,13 @@ def test_classification(spark):
     assert [r.l for r in lang.select(C.zh_or_en(F.col("t")).alias("l")).collect()] == ["zh", "en", "en", "en"]
 
 
+def test_subtype_by_the_whole_text(spark):
+    df = spark.createDataFrame([("x", "outlook " + "y" * 3000 + " risk and downside"), (None, None)], "a string, b string")
+    words = {"outlook": ["outlook"], "risk": ["risk", "downside"]}
+    got = df.select(C.subtype(F.col("a"), F.col("b"), words, "other").alias("whole"), C.subtype(F.col("a"), F.col("b"), words, "other", 3000).alias("start")).collect()
+    assert [tuple(r) for r in got] == [("risk", "outlook"), ("other", "other")]
+
+
 def test_evidence(spark):
     docs = spark.createDataFrame([("r", "Gold rose 5% on haven demand.\n\nEquities fell as growth slowed.\n\nBonds were flat."), ("q", None)], "r string, t string")
     facts = spark.createDataFrame([("r", 1, "equities fell"), ("r", 2, "zzz"), ("q", 3, "gold"), ("r", 4, None), ("r", 5, "gold rose 5%")], "r string, f int, c string")
