@@ -9,6 +9,10 @@ from __future__ import annotations
 #: Words that carry no meaning of their own in token overlap.
 STOPWORDS = "the and for with from that this into are not report section strategy outlook research market".split()
 
+#: Words left out of the tokens that charts are matched by, and the pattern of those tokens.
+CHART_STOPWORDS = "the and for with from amid focus chart table figure figures events source sources investment market markets".split()
+CHART_TOKEN = r"[\x{4e00}-\x{9fff}]{2,}|[a-z0-9]{3,}"
+
 #: Numbers with an optional currency and unit, not within a word or another number.
 NUMBER_PATTERN = (
     r"(?<![\w.])(?:[$€£¥]\s*)?[-+]?(?:\d{1,3}(?:,\d{3})+|\d+)(?:\.\d+)?"
@@ -34,6 +38,20 @@ UNIT_CLASSES = {
 RISK_TERMS = "risk downside volatility uncertainty 风险 波动 不确定".split()
 SCENARIO_TERMS = ["scenario", "base case", "upside", "downside", "情景", "基准情形"]
 SOURCE_TERMS = ["source", "according to", "数据来源", "资料来源", "来源"]
+#: Statements of a source in a text, up to ``{rest}``; and names that give a source authority.
+SOURCE_STATEMENT = (
+    r"(?:\b(?:source|sources|data source)\b\s*[:：\-]\s*{rest}|\b(?:based on|according to)\b\s+{rest}"
+    r"|(?:资料来源|数据来源|信息来源|来源)\s*[:：\-]\s*{rest})"
+)
+AUTHORITY_TERMS = (
+    ["wind", "bloomberg", "reuters", "factset", "markit", "ceic", "haver", "fred", "imf", "world bank", "bis", "federal reserve", "sec", "exchange"]
+    + "统计局 央行 人民银行 交易所 证监会 财政部 海关总署 同花顺 万得 中证 上交所 深交所 北交所".split()
+    + ["sec.gov", "federalreserve.gov", "imf.org", "worldbank.org", "bis.org", "gov", "公告", "监管", "goldman", "j.p. morgan", "jpmorgan", "morgan stanley"]
+    + "blackrock ubs citi deutsche fidelity vanguard 中信 华泰 国泰君安 广发 招商证券 申万宏源".split()
+)
+#: Where the tail of a web page begins: plain markers, and the cards of related articles.
+BOUNDARY_MARKERS = [" Discover More ", " Disclosures: ", " Risk Considerations ", " Important Information ", " View Disclosures"]
+RELATED_CARD = r"\s(?:WEALTH MANAGEMENT|GLOBAL CAPITAL MARKETS|INVESTMENT MANAGEMENT|RESEARCH)\s+[A-Z][A-Za-z0-9’'&,\-–— ]{8,100}"
 SECTION_GROUPS = {
     "summary": ["summary", "executive", "key takeaways", "摘要", "要点", "核心观点"],
     "evidence": ["evidence", "source", "data", "chart", "facts", "证据", "数据", "来源"],

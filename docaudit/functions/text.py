@@ -6,6 +6,7 @@ forms need an Arrow UDF. Null text counts as empty unless stated otherwise.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import pandas as pd
@@ -45,12 +46,17 @@ def normalize_text(text: Column | str, compatibility: bool = True) -> Column:
     return collapse_spaces(F.lower(nfkc(base) if compatibility else base))
 
 
-def token_set(normal: Column, stopwords: list[str] = D.STOPWORDS) -> Column:
+def token_set(normal: Column, stopwords: list[str] = D.STOPWORDS, pattern: str = rf"{CJK_RUN}|[a-z0-9][a-z0-9_\-./%]*") -> Column:
     """Distinct tokens of normalised text: runs of two or more ideographs, or words of two or more characters."""
-    found = F.regexp_extract_all(normal, F.lit(rf"({CJK_RUN}|[a-z0-9][a-z0-9_\-./%]*)"), 1)
+    found = F.regexp_extract_all(normal, F.lit(f"({pattern})"), 1)
     return F.array_except(F.filter(found, lambda t: F.length(t) > 1), F.array(*map(F.lit, stopwords)))
 
 
+def chart_tokens(normal: Column, stopwords: list[str] = D.CHART_STOPWORDS) -> Column:
+    """Distinct tokens that charts are matched by: runs of two or more ideographs, or of three or more letters and digits."""
+    return token_set(normal, stopwords, D.CHART_TOKEN)
+
+
 def overlap_ratio(expected: Column, observed: Column) -> Column:
     """Share of the expected tokens that were observed; 0 without expected ones."""
     n = F.size(expected)
@@ -159,6 +165,12 @@ def source_note(text: Column | str, longest: int = 220) -> Column:
     return F.substring(F.regexp_extract(text_or_empty(text), r"(?i)((?:sources?|data source|资料来源|数据来源|来源)[ \t]*[:：-][^\n]+)", 1), 1, longest)
 
 
+def source_statements(text: Column | str, longest: int | None = None) -> Column:
+    """All statements of a source in the order they come, each to the end of its line or of ``longest`` characters (220 in the reference)."""
+    rest = ".+" if longest is None else f".{{1,{longest}}}"
+    return F.regexp_extract_all(text_or_empty(text), F.lit(f"(?iUd)({D.SOURCE_STATEMENT.replace('{rest}', rest)})"), 1)
+
+
 def unit_hints(text: Column | str) -> Column:
     """Distinct unit words of a text in the order they come."""
     return F.array_distinct(F.regexp_extract_all(F.lower(text_or_empty(text)), F.lit(r"(%|bps|bp|usd|eur|cny|rmb|billion|million|亿元|万元|倍|个百分点|个基点)"), 1))
@@ -174,6 +186,32 @@ def trim_at_markers(text: Column | str, markers: list[str], least: int = 1800, s
     return F.when(first.isNotNull() & (F.length(t) > start), F.rtrim(F.substring(t, F.lit(1), start + first - 1))).otherwise(t)
 
 
+def match_starts(text: Column, pattern: str) -> Column:
+    """Where the matches of a pattern begin, from 0."""
+
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def starts(texts: pd.Series) -> pd.Series:
+        wanted = re.compile(pattern)
+        return texts.map(lambda t: [m.start() for m in wanted.finditer(t)], na_action="ignore")
+
+    return starts(text)
+
+
+def trim_boilerplate(text: Column | str, markers: list[str] = D.BOUNDARY_MARKERS, cards: str = D.RELATED_CARD, least: int = 1800, share: float = 0.2, least_cards: int = 2) -> Column:
+    """A text in single spaces, cut where its tail begins: at the first marker or, if there are ``least_cards`` of them, the first card.
+
+    Only what stands behind the first ``least`` characters or ``share`` of the text, whichever is more, counts; case matters.
+    """
+    t = collapse_spaces(text)
+    start = F.greatest(F.lit(least), F.floor(F.length(t) * share).cast("int"))
+    tail = F.substring(t, start + 1, F.length(t))
+    marked = [F.nullif(F.locate(m, tail), F.lit(0)) + start - 1 for m in markers]
+    found = F.filter(match_starts(t, cards), lambda p: p >= start)
+    carded = F.when(F.size(found) >= least_cards, F.get(found, F.lit(0)))
+    cut = F.least(*marked, carded, F.lit(None).cast("int"))
+    return F.when(cut.isNotNull(), F.trim(F.substring(t, F.lit(1), cut))).otherwise(t)
+
+
 def mojibake_ratio(text: Column | str, markers: list[str] = D.MOJIBAKE_MARKERS) -> Column:
     """Marks of wrong decoding per character; 0 for empty text."""
     t = text_or_empty(text)

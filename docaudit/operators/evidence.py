@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docaudit import dictionaries as D
 from docaudit.functions import numbers as N
 from docaudit.functions import text as X
+from docaudit.operators.windows import first_per_key
 
 #: Weights of the parts of a retrieval score (fixed values).
 RETRIEVAL_WEIGHTS = {"token_overlap": 0.50, "number_similarity": 0.35, "hint_overlap": 0.10, "date_similarity": 0.05}
@@ -66,6 +68,42 @@ def claim_support(facts: DataFrame, documents: DataFrame, key: str, fact_id: str
     return out.withColumn("score", score).withColumn("supported", (F.col("overlap") >= 0.44) | ((F.col("overlap") >= 0.25) & (F.col("preserved") >= 0.6)))
 
 
+def source_evidence(
+    key: str, texts: DataFrame, links: DataFrame, sources: DataFrame, charts: DataFrame, authorities: list[str] = D.AUTHORITY_TERMS, longest: int | None = None, compared: int | None = None, shown: int | None = None
+) -> DataFrame:
+    """``key, kind, at, location, text, href, authority_terms, authority_hit``: what a report says of its sources, each once.
+
+    ``texts`` has ``text``, ``links`` an array ``links`` of ``text, href``, both a row per key; ``sources`` a row per entry of
+    the source pack with ``at, text, href``; ``charts`` a row per chart with ``at, chart_id, source_note, nearby_text``. Of
+    equal kind, text and href the first by ``at`` is kept. All is taken whole; the reference cuts statements at 220
+    characters (``longest``), compares 180 (``compared``) and shows 360 (``shown``), of 40 statements and 80 charts.
+    """
+    place = lambda name: F.concat(F.lit(name + "_"), F.when(F.col("at") < 1000, F.lpad(F.col("at").cast("string"), 3, "0")).otherwise(F.col("at").cast("string")))
+    item = lambda kind, location, text, href: (F.lit(kind).alias("kind"), F.col("at").cast("long").alias("at"), location.alias("location"), text.alias("text"), F.coalesce(href, F.lit("")).alias("href"))
+    none, given = F.lit(""), lambda c: F.nullif(F.col(c), F.lit(""))
+    said = texts.select(key, F.posexplode(X.source_statements("text", longest)).alias("p", "s")).withColumn("at", F.col("p") + 1)
+    linked = links.select(key, F.posexplode("links").alias("p", "l")).withColumn("at", F.col("p") + 1)
+    chart = F.coalesce(given("chart_id"), F.lit("chart"))
+    nearby = F.get(X.source_statements("nearby_text", longest), F.lit(0))
+    parts = [
+        said.select(key, *item("text_source_statement", place("text_match"), F.col("s"), none)),
+        linked.select(key, *item("link", place("link"), F.coalesce(given("l.text"), F.col("l.href")), F.col("l.href"))),
+        sources.select(key, *item("source_pack", place("source_pack"), F.col("text"), F.col("href"))),
+        charts.select(key, *item("chart_source_note", chart, F.col("source_note"), none)),
+        charts.select(key, *item("chart_nearby_source", chart, nearby, none)),
+    ]
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    rows = rows.withColumn("text", X.collapse_spaces("text")).where((F.col("text") != "") | (F.col("href") != ""))
+    rows = rows.withColumn("__same", F.col("text") if compared is None else F.substring("text", 1, compared))
+    once = first_per_key(rows, [key, "kind", "__same", "href"], [F.col("at"), F.col("location"), F.col("text")])
+    once = once.withColumn("__normal", X.normalize_text(F.concat_ws(" ", "text", "href")))
+    terms = X.term_hits(F.col("__normal"), authorities)
+    out = once.select(key, "kind", "at", "location", (F.col("text") if shown is None else F.substring("text", 1, shown)).alias("text"), "href", terms.alias("authority_terms"))
+    return out.withColumn("authority_hit", F.size("authority_terms") > 0)
+
+
 def section_presence(text: Column, heading_text: Column, name: Column) -> Column:
     """Whether a section is there: fuzzily among the headings, or in the text."""
     n = X.collapse_spaces(F.lower(name))

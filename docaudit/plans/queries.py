@@ -198,6 +198,17 @@ def boundary_trim(spark, d):
     return table(spark, d, "article_quality").select("article_id", cut.alias("trimmed"))
 
 
+@query()
+def boilerplate_trim(spark, d):
+    return table(spark, d, "article_quality").select("article_id", X.trim_boilerplate("text_preview").alias("trimmed"))
+
+
+@query()
+def chart_token_sets(spark, d):
+    tokens = X.chart_tokens(X.normalize_text(F.concat_ws(" ", "title", "caption", "nearby_text")))
+    return table(spark, d, "chart_candidates").select("chart_row_id", F.array_join(tokens, " ").alias("tokens"))
+
+
 @query()
 def paragraph_chunks(spark, d):
     rows = table(spark, d, "extracted_documents").select("extract_id", F.posexplode(X.chunk_paragraphs("text_excerpt", 900)).alias("p", "chunk"))
@@ -515,6 +526,17 @@ def claim_overlap(spark, d):
     return out.select("manifest_id", F.round("overlap", 4).alias("overlap"))
 
 
+@query()
+def source_evidence(spark, d):
+    rows = table(spark, d, "extracted_documents").select("extract_id", "sample_id", "loaded_at", F.col("text_excerpt").alias("text"), "links")
+    latest = J.pick_one(rows, ["sample_id"], [F.coalesce(-F.unix_micros("loaded_at"), F.lit(2**62)), -F.col("extract_id")])
+    pack = F.concat_ws(" ", "source_document_path", "source_format", "source_file_name", "source_sha256", F.col("source_page_count").cast("string"), "source_parse_quality")
+    sources = table(spark, d, "golden_manifest").select("sample_id", F.col("manifest_id").alias("at"), pack.alias("text"), F.col("source_document_path").alias("href"))
+    charts = table(spark, d, "chart_candidates").select(F.col("report_id").alias("sample_id"), F.col("chart_row_id").alias("at"), "chart_id", "source_note", "nearby_text")
+    out = E.source_evidence("sample_id", latest, latest, sources, charts)
+    return out.withColumn("authority_terms", F.array_join("authority_terms", "|"))
+
+
 @query()
 def evidence_topk(spark, d):
     facts = table(spark, d, "golden_manifest").select("sample_id", "manifest_id", F.concat_ws(" ", "report_title", "query").alias("claim"))

@@ -38,6 +38,26 @@ def test_sentences_are_split_behind_ends(spark):
     assert got == ["This is the first of the sentences.", "And this is the second of them!", "A third one without any end mark at all"]
 
 
+def test_chart_tokens(spark):
+    assert sorted(texts(spark, X.chart_tokens(X.normalize_text("t")), ["The GDP-growth chart of 2024: 中国 up 5%, ab_cde"])[0]) == ["2024", "cde", "gdp", "growth", "中国"]
+    assert texts(spark, X.chart_tokens("t"), ["", "the chart"]) == [[], []]
+
+
+def test_source_statements_are_all_there(spark):
+    long = "Source: " + "x" * 400
+    text = f"{long}\nText based on IMF data.\n资料来源：Wind\nno resource here\nSOURCES - \n  Bloomberg"
+    assert texts(spark, X.source_statements("t"), [text, None, ""]) == [[long, "based on IMF data.", "资料来源：Wind", "SOURCES - \n  Bloomberg"], [], []]
+    assert [len(s) for s in texts(spark, X.source_statements("t", 220), [text])[0]][0] == 228
+
+
+def test_boilerplate_is_cut_at_cards_and_markers(spark):
+    body, card = "word " * 400, "RESEARCH A look at the year ahead. "
+    cards = [body + card + card, body + card, card + card + body, body + card + "Important Information here " + card, body + "important information here", None, "a \n b"]
+    got = texts(spark, X.trim_boilerplate("t"), cards)
+    assert got == [body.strip(), (body + card).strip(), (card + card + body).strip(), body.strip(), body + "important information here", "", "a b"]
+    assert texts(spark, X.trim_boilerplate("t"), [body + card + "Important Information here"])[0] == (body + card).strip()
+
+
 def test_nothing_is_cut_unless_asked(spark):
     text = "\n".join([f"The {i}th sentence of a long text." for i in range(1500)] + ["a long list " * 200])
     got = texts(spark, X.split_sentences("t"), [text])[0]

@@ -226,6 +226,25 @@ def test_evidence_numbers_in_another_scale(spark):
     assert [(r.f, r.chunk_index, r.score) for r in got] == [(1, 1, 0.35), (2, 1, 0.175), (3, 0, 0.0), (4, 1, 0.175)]
 
 
+def test_source_evidence(spark):
+    said = "\n".join(["Source: Bloomberg"] + [f"Source: item {i}" for i in range(60)] + ["Source:  Bloomberg", "According to us"])
+    long = "Source: " + "y" * 400
+    texts = spark.createDataFrame([("r", said, [("Home", "https://h/"), ("", "https://imf.org/x"), ("Home", "https://h/"), (None, None)]), ("q", None, None)], "k string, text string, links array<struct<text:string,href:string>>")
+    packs = spark.createDataFrame([("r", 7, "a pdf", "p/a.pdf"), ("r", 3, "a pdf", "p/a.pdf"), ("q", 1, None, None)], "k string, at long, text string, href string")
+    charts = spark.createDataFrame([("r", 1, "c1", "Wind", long + "1"), ("r", 2, "c2", "Wind", long + "2"), ("q", 3, None, "", "nothing")], "k string, at long, chart_id string, source_note string, nearby_text string")
+    got = E.source_evidence("k", texts, texts, packs, charts).collect()
+    assert {r.k for r in got} == {"r"}
+    kinds = lambda k: sorted((r.at, r.location, r.text, r.href, tuple(r.authority_terms)) for r in got if r.kind == k)
+    statements = kinds("text_source_statement")
+    assert len(statements) == 62 and statements[0] == (1, "text_match_001", "Source: Bloomberg", "", ("bloomberg",)) and statements[-1][:3] == (63, "text_match_063", "According to us")
+    assert kinds("link") == [(1, "link_001", "Home", "https://h/", ()), (2, "link_002", "https://imf.org/x", "https://imf.org/x", ("imf", "imf.org"))]
+    assert kinds("source_pack") == [(3, "source_pack_003", "a pdf", "p/a.pdf", ())]
+    assert kinds("chart_source_note") == [(1, "c1", "Wind", "", ("wind",))]
+    assert [r[2] for r in kinds("chart_nearby_source")] == [long + "1", long + "2"]
+    parity = E.source_evidence("k", texts, texts, packs, charts, longest=220, compared=180, shown=360).where("kind = 'chart_nearby_source'").collect()
+    assert [(r.location, len(r.text)) for r in parity] == [("c1", 228)]
+
+
 def test_filters(spark):
     from docaudit.operators import filters as FI
 
