@@ -55,7 +55,7 @@ def _best_fit(sizes: np.ndarray, capacity: int) -> list[list[int]]:
 
 
 def _improve(bins: list[list[int]], sizes: np.ndarray, capacity: int) -> list[list[int]]:
-    """Local search: moves, one-for-one and two-for-one exchanges from emptier into fuller containers, until nothing improves."""
+    """Local search: moves, one-for-one and two-for-one exchanges from emptier into fuller containers, until nothing improves or the allowed looks are used up."""
     size = sizes.tolist()
     fill = [sum(size[i] for i in b) for b in bins]
     looks = LOOKS * (len(bins) + 100)

@@ -3,8 +3,9 @@
 ``declared_quantities`` reads each recorded number with the unit and scale that its source
 states: in the entry itself, in the unit hint, or in the texts around it; scale and currency
 may stand in different places. Where a number can be read in several ways (a separator that may
-group digits or mark decimals), all readings of a record are weighed together: the combination
-with the least sum of squared log residuals about their common size is taken.
+group digits or mark decimals), each is decided by the squared log residual about the median of the
+record's unambiguous numbers; without any, the usual reading is taken and flagged. Lines of over 80
+characters in captions and nearby texts are not searched for a unit.
 
 ``identity_units`` needs no statement at all: where columns obey a product identity, such as
 mass = density x volume, it picks per group of rows the combination of units with the least
@@ -235,7 +236,7 @@ def _resolve(own: tuple, places: list[tuple]) -> tuple[str, Decimal] | None:
 
 
 def _choose(options: list[list[Decimal]]) -> list[tuple[Decimal, bool]]:
-    """Of each entry's readings the one in the combination with the least squared log residuals, and whether it is unique."""
+    """Of each entry's readings the usual one, unless another is far nearer to the median of the unambiguous entries, and whether it is unique."""
     out = [(o[0], True) for o in options]
     open_at = [i for i, o in enumerate(options) if len(o) > 1 and all(o)]
     fixed = [math.log10(abs(o[0])) for o in options if len(o) == 1 and o[0]]
