@@ -38,6 +38,7 @@ BLOB = re.compile(r"[A-Za-z0-9+/=_-]{32,}")
 CJK = "぀-ヿ㐀-䶿一-鿿豈-﫿ｦ-ﾟ"
 HAS_CJK = re.compile(f"[{CJK}]")
 WORD = re.compile(rf"[{CJK}]|(?:(?![{CJK}])[^\W_])+(?:['’](?:(?![{CJK}])[^\W_])+)*")
+SEVERAL = re.compile(r"""[.?!]["'”’»)]* +[^\W\d_a-zß-öø-ÿ]|[。！？]["'”’」』]*\S""")  # a sentence end within
 LETTER_RUN = re.compile(r"[^\W\d_]+")
 DELIMITERS = ("\t", "|", ";", ",", "  ")
 WIDE_GAP = re.compile(r" {2,}")
@@ -171,6 +172,10 @@ def wrapped(lines: list[str]) -> list[bool]:
     width = int(votes.argmax())
     good = [i for i, low, high in spans if low - 3 <= width <= high + 1]
     near = sum(low >= 0.6 * width for _, low, _ in spans)
+    last = max((i for i, line in enumerate(lines) if line.strip()), default=0)
+    stray = sum(0 < len(a) < 0.6 * width and i != last and not MARKER.match(a) and not END.search(a) for i, a in enumerate(map(str.rstrip, lines)))
+    if stray > len(good):  # wrapped text has short open lines only for headings
+        return out
     beyond = sum(width + 3 < len(line.rstrip()) <= 160 for line in lines)
     if not votes[width] or len(good) * 20 < 13 * near or beyond * 6 > len(good) or len(good) == 1 and width > 100:
         return out
@@ -201,63 +206,100 @@ def _items(line: str) -> bool:
 
 
 def line_kinds(text: str) -> tuple[list[str], list[str | None]]:
-    """The lines of a text and the kind of each; None for blank ones."""
-    lines = text.replace("\r\n", "\n").replace("\r", "\n").split("\n")
+    """The lines of a text, what stands between line feeds, and the kind of each; None for blank ones."""
+    lines = text.split("\n")
     kinds: list[str | None] = [None] * len(lines)
     if "\t" in text or "|" in text or ";" in text or "," in text or "  " in text:
         tables = table_lines(lines)
     else:
         tables = [False] * len(lines)
     runs_on = wrapped(lines) if len(lines) > 1 else [False]
+    filled = [i for i, line in enumerate(lines) if line.strip()]
     open_lines: list[int] = []
     marked: list[int] = []
-    for i, line in enumerate(lines):
-        if not line.strip():
-            continue
+    ended = 0
+    for i in filled:
+        line = lines[i]
         if tables[i]:
             kinds[i] = TABLE
             continue
         n = len(line)
         marker = MARKER.match(line)
+        within = runs_on[i] or i > 0 and runs_on[i - 1]
         if _junk(line[marker.end() :] if marker else line):
             kinds[i] = JUNK
-        elif marker and not runs_on[i] and not (i and runs_on[i - 1]):
-            s = line.rstrip()
-            sentence = END.search(s) and (n >= 20 if HAS_CJK.search(s) else s.count(" ") >= 7)
-            kinds[i] = PROSE if sentence else LIST
-            if not sentence:
-                marked.append(i)
-        elif _items(line) and not runs_on[i] and not (i and runs_on[i - 1]):
+        elif marker and not (i and (runs_on[i - 1] or _continues(lines[i - 1], line))):
+            kinds[i] = PROSE
+            marked.append(i)
+        elif _items(line) and not within:
             kinds[i] = LIST
         else:
             kinds[i] = PROSE
             s = line.rstrip()
-            short = n <= 40 if HAS_CJK.search(line) else n <= 110 and line.count(" ") <= 14
-            if short and not END.search(s) and not runs_on[i] and not (i and runs_on[i - 1]):
+            if END.search(s):
+                ended += 1
+            elif not within and (n <= 40 if HAS_CJK.search(line) else n <= 110 and line.count(" ") <= 14):
                 open_lines.append(i)
-    # a marker that does not return is no list; nor is a marked line that is a paragraph
-    if len(marked) == 1:
-        i = marked[0]
-        if len(lines[i]) > 80 or END.search(lines[i].rstrip()):
-            kinds[i] = PROSE
-    # an indentation that returns in step: items, with or without what belongs to them below
-    indents = [len(line) - len(line.lstrip(" \t")) for line in lines if line.strip()]
-    if any(indents) and len(open_lines) * 2 > len(indents) and autocorrelation(indents) > 0.7:
-        for i in open_lines:
+    place = {i: p for p, i in enumerate(filled)}
+    _mark_items(lines, kinds, marked, runs_on, place)
+    _mark_open(lines, kinds, open_lines, filled, place, ended)
+    return lines, kinds
+
+
+def _continues(before: str, line: str) -> bool:
+    """Whether a line that begins with a letter and a full stop, as ``u. a.``, goes on with the open line before it, which is no item."""
+    a = before.rstrip()
+    return len(a) >= 45 and line.lstrip()[:1].isalpha() and not END.search(a) and not MARKER.match(before)
+
+
+def _mark_items(lines: list[str], kinds: list, marked: list[int], runs_on: list[bool], place: dict[int, int]) -> None:
+    """Marked lines are items where the marker returns: with the next filled line, or with what hangs on the item in between."""
+    quoted = [i for i in marked if lines[i].lstrip().startswith(">")]
+    if quoted and sum(SEVERAL.search(lines[i]) is not None for i in quoted) * 2 >= len(quoted):
+        marked = [i for i in marked if i not in set(quoted)]  # a letter quoted in paragraphs, not items
+    beside = set()
+    for a, b in zip(marked, marked[1:], strict=False):
+        if place[b] - place[a] == 1 or all(runs_on[k] for k in range(a, b - 1)) and runs_on[a]:
+            beside |= {a, b}
+    for i in marked:
+        s = lines[i].rstrip()
+        sentence = END.search(s) and (len(s) >= 20 if HAS_CJK.search(s) else s.count(" ") >= 7)
+        if i in beside or len(marked) > 1 and not sentence:
+            kinds[i] = LIST
+            k = i
+            while i in beside and k + 1 < len(lines) and runs_on[k] and k + 1 not in marked:  # an item that is wrapped
+                k += 1
+                kinds[k] = LIST
+        elif len(marked) == 1 and not sentence and len(lines[i]) <= 80 and not END.search(s):
             kinds[i] = LIST
-    # short lines without an end, at least three on end: items of a list without markers
+
+
+def _mark_open(lines: list[str], kinds: list, open_lines: list[int], filled: list[int], place: dict[int, int], ended: int) -> None:
+    """Short lines without an end are items where something recurs: indentation, line length, or they themselves, line after line.
+
+    The ratio of lines that end a sentence decides how much must recur: where hardly any does, the items may stand apart.
+    """
+    if not open_lines:
+        return
+    most = len(open_lines) * 2 > len(filled)
+    if most:
+        longest_item = max(4, len(filled) // 3)
+        indents = [len(lines[i]) - len(lines[i].lstrip(" \t")) for i in filled]
+        lengths = [len(lines[i].strip()) for i in filled]
+        if any(indents) and autocorrelation(indents) > 0.7 or autocorrelation(lengths, longest_item) > 0.7:
+            for i in open_lines:
+                kinds[i] = LIST
+            return
+    apart = len(open_lines) >= 3 and ended * 5 < len(open_lines)  # hardly a sentence: blank lines between items do not matter
     run: list[int] = []
-    filled = [i for i, k in enumerate(kinds) if k]
-    place = {i: p for p, i in enumerate(filled)}
     for i in [*open_lines, -1]:
-        if run and (i < 0 or place[i] != place[run[-1]] + 1 or any(not lines[k].strip() for k in range(run[-1] + 1, i))):
+        if run and (i < 0 or place[i] != place[run[-1]] + 1 or not apart and any(not lines[k].strip() for k in range(run[-1] + 1, i))):
             if len(run) >= 3:
                 for k in run:
                     kinds[k] = LIST
             run = []
         if i >= 0:
             run.append(i)
-    return lines, kinds
 
 
 def kind_of(text: str | None) -> str | None:

@@ -17,6 +17,20 @@ CASES = [
 ]
 
 
+SENTENCES = ["Our base case assumes that an ageing capital stock fades in two steps.", "Are builders cheap, or is higher shipping costs simply not in the price yet?", "Risks are two-sided: falling term premia may surprise with a long lag.", "Growth in the Nordics has been stronger than elsewhere in the region."]
+CASES += [
+    *(("\n".join(f"{m}{s}" for s in SENTENCES), "list") for m in ("• ", "> ", "[ ] ", "- ")),  # items may be whole sentences
+    ("Our view\n" + "\n".join(f"{i}. {s}" for i, s in enumerate(SENTENCES, 1)), "list"), ("\n\n".join(f"({i}) {s}" for i, s in enumerate(SENTENCES, 1)), "list"),
+    ("\n".join(f"- {s[:40]}\n  {s[40:]}" for s in SENTENCES), "list"),
+    ("\n".join(SENTENCES) + "\n1. gold\n2. banks", "prose"),  # a short list in a text of sentences
+    ("Outlook for builders\ncommercial property\nstrong household balance sheets: 53 percent\nsoftware\ngold: 15.6%\ninflation-linked bonds", "list"),
+    ("Outlook for builders\n\nsoftware\n\ngold: 15.6%\n\ninflation-linked bonds", "list"),
+    ("\n".join(f"{a}\n{b}, the longer of the two lines of an entry here" for a, b in [("gold", "Canada"), ("tin", "Norway"), ("coal", "Poland"), ("iron", "Brazil"), ("zinc", "Mexico")]), "list"),
+    ("Deshalb wurden Versicherer reduziert, z. B. über Optionen auf\nden Index. Laut Abb. 4 lag der Anteil der Halbleiter bei 3,3 %,\nu. a. wegen der Pfandbriefe.\nLaut Abb. 4 lag der Anteil der Einzelhändler bei 24 Prozent, u.\na. wegen der Pfandbriefe. Was spricht bis zum Herbst noch für\nInfrastrukturfonds?", "prose"),
+    ("7.5\t8.25\r\n1.5\t3\r", "table"),
+]
+
+
 @pytest.mark.parametrize("text,kind", CASES)
 def test_kinds(text, kind):
     assert Q.kind_of(text) == kind
