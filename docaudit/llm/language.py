@@ -14,6 +14,7 @@ segments by the cheapest path through the languages, each change having a price.
 from __future__ import annotations
 
 import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -26,6 +27,7 @@ from docaudit.llm import quality
 from docaudit.session import spread
 
 LANGUAGES = ("en", "zh", "de", "fr", "es", "ja")
+OTHER = "other"  # running words in none of these languages
 
 #: Spellings of labels besides the codes themselves (fixed values).
 LABELS = {
@@ -45,7 +47,11 @@ SWITCH = 22.0  # price of a change of language between two lines
 UNKNOWN_WORD = 0.35  # weight of a word that the sample has hardly seen, such as a name
 UNIT_TABLE = 300_000
 LONG_WORD = re.compile("[a-zà-öø-ɏ]{31}")
-UNIT = re.compile("[぀-ヿ㐀-䶿一-鿿豈-﫿ｦ-ﾟ]|[a-zà-öø-ɏ]+(?:['’][a-zà-öø-ɏ]+)?")
+FOREIGN = "\u0370-\u1dff\ua000-\ud7ff"  # letters of scripts that none of the languages is written in, from Greek to Hangul
+UNIT = re.compile(f"[\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f]|[a-zà-öø-ɏ]+(?:['’][a-zà-öø-ɏ]+)?|[{FOREIGN}]+")
+FEW_WORDS, FEW_LETTERS = 10, 12  # fewer cannot tell an unknown language from names or a stray
+STRANGE = 0.3  # a language is not the text's if so much smaller a share of the words is known than in its sample
+TEMPERATURES = (0.5, 0.7, 1, 1.4, 2, 2.8, 4, 5.6, 8, 11, 16, 23, 32)
 
 
 def codewords(classes: int = len(LANGUAGES), bits: int = BITS, seed: int = 11) -> np.ndarray:
@@ -64,6 +70,8 @@ def codewords(classes: int = len(LANGUAGES), bits: int = BITS, seed: int = 11) -
 
 def unit_features(unit: str) -> list[int]:
     """Hash buckets of a unit's n-grams: an ideograph or kana, or a word with its ends marked."""
+    if _foreign(unit):
+        return []
     if ord(unit[0]) >= 0x3000:
         block = "kana" if unit[0] < "㐀" or unit[0] >= "ｦ" else "han"
         return [zlib.crc32(unit.encode()) % BUCKETS, zlib.crc32(block.encode()) % BUCKETS]
@@ -72,16 +80,26 @@ def unit_features(unit: str) -> list[int]:
     return [zlib.crc32(g.encode()) % BUCKETS for g in [*grams, padded]]
 
 
+def _foreign(unit: str) -> bool:
+    return 0x370 <= ord(unit[0]) < 0x3000 or 0xA000 <= ord(unit[0]) < 0xD800
+
+
+def _folded(unit: str) -> int:
+    """A word without accents, as some texts are, by a hash."""
+    return zlib.crc32("".join(c for c in unicodedata.normalize("NFKD", unit) if not unicodedata.combining(c)).encode())
+
+
 class LanguageModel:
-    """Bit classifiers and their decoding."""
+    """Bit classifiers, their decoding, the words of each language and how far a lead may be trusted."""
 
-    def __init__(self, weights: np.ndarray, reliability: np.ndarray, words: frozenset[int] = frozenset()):
+    def __init__(self, weights: np.ndarray, reliability: np.ndarray, words: frozenset[int] = frozenset(), vocabulary: list[frozenset[int]] | None = None, usual: list[float] | None = None, temperature: float = 4.0):
         self.code = codewords()
         self.weights, self.reliability, self.words = weights, reliability, words
+        self.vocabulary, self.usual, self.temperature = vocabulary, usual, temperature
         self.reset()
 
     def __getstate__(self):
-        return {"weights": self.weights, "reliability": self.reliability, "words": self.words}
+        return {k: getattr(self, k) for k in ("weights", "reliability", "words", "vocabulary", "usual", "temperature")}
 
     def __setstate__(self, state):
         self.__init__(**state)
@@ -121,6 +139,27 @@ class LanguageModel:
             out[some] = np.add.reduceat(self.vectors[np.array(found, np.int64)], starts, axis=0)
         return out
 
+    def known_share(self, units: list[str], language: int) -> tuple[float, int]:
+        """The share of the words in Latin letters that the sample has in a language, and how many they are."""
+        latin = [u for u in units if ord(u[0]) < 0x370]
+        own = self.vocabulary[language] if self.vocabulary else frozenset()
+        return sum(_folded(u) in own for u in latin) / max(1, len(latin)), len(latin)
+
+    def is_strange(self, units: list[str], language: int) -> bool:
+        """Whether running words decoded as a language are of none here: a script of its own, or far fewer known words than usual."""
+        foreign = sum(map(len, filter(_foreign, units)))
+        if foreign >= FEW_LETTERS and foreign * 2 > sum(map(len, units)):
+            return True
+        if not self.vocabulary or LANGUAGES[language] in ("zh", "ja"):
+            return False
+        share, n = self.known_share(units, language)
+        return n >= FEW_WORDS and share < STRANGE * self.usual[language]
+
+    def probability(self, scores: np.ndarray) -> np.ndarray:
+        """How likely each language is, given what the losses were worth on texts the classifiers had not seen."""
+        chance = np.exp((scores - scores.max(-1, keepdims=True)) / self.temperature)
+        return chance / chance.sum(-1, keepdims=True)
+
     def decode(self, sums: np.ndarray) -> np.ndarray:
         """For each row of bit scores the negative weighted loss of each language's codeword."""
         signed = self.code[None, :, :] * sums[:, None, :]
@@ -128,18 +167,46 @@ class LanguageModel:
 
 
 def fit(texts: list[str], labels: list[str], rounds: int = 3) -> LanguageModel:
-    """Bit classifiers from labelled texts; labels that the others contradict are replaced in each round."""
-    code = codewords()
+    """Bit classifiers from labelled texts; labels that the others contradict are replaced in each round.
+
+    A fifth of the texts is then left out of one more fit, to see how often a lead of which size is right:
+    the temperature that makes the confidence of its single lines most likely goes with the model.
+    """
     labels = np.array([LANGUAGES.index(x) for x in labels], np.int64)
+    units = [UNIT.findall(text[:SAMPLE_CHARS].lower()) for text in texts]
+    model, current = _fitted(units, labels, rounds)
+    held = np.arange(len(texts)) % 5 == 4
+    if held.any() and not held.all():
+        part, _ = _fitted([u for u, h in zip(units, held, strict=True) if not h], current[~held], 1)
+        # what a whole text and its label agree on is taken as true of its lines; short pieces of them show doubt
+        pieces, truth = [], []
+        for k in np.flatnonzero(held & (current == labels)).tolist():
+            if model.decode(model.sums([units[k]]))[0].argmax() == labels[k]:
+                for size in (1, 2, 4, 8, 16):
+                    for piece in (units[k][:size], units[k][-size:]):
+                        if len(piece) == size:
+                            pieces.append(piece)
+                            truth.append(labels[k])
+        if pieces:
+            scores = part.decode(part.sums(pieces))
+            def surprise(t: float) -> float:
+                part.temperature = t
+                return float(-np.log(np.maximum(part.probability(scores)[np.arange(len(truth)), truth], 1e-9)).mean())
+
+            model.temperature = min(TEMPERATURES, key=surprise)
+    return model
+
+
+def _fitted(texts: list[list[str]], labels: np.ndarray, rounds: int) -> tuple[LanguageModel, np.ndarray]:
+    """The classifiers fitted on texts given as units, and the labels after ``rounds`` of replacing those that do not fit."""
+    code = codewords()
     table: dict[str, int] = {}
-    owners: list[np.ndarray] = []
-    for text in texts:
-        units = UNIT.findall(text[:SAMPLE_CHARS].lower())
-        owners.append(np.array([table.setdefault(u, len(table)) for u in units], np.int64))
+    owners = [np.array([table.setdefault(u, len(table)) for u in units], np.int64) for units in texts]
     features = [unit_features(u) for u in table]
     flat = np.array([f for fs in features for f in fs], np.int64)
     of_unit = np.repeat(np.arange(len(features)), [len(fs) for fs in features])
     wide = np.array([ord(u[0]) >= 0x3000 for u in table], bool)
+    latin = np.array([ord(u[0]) < 0x370 for u in table], bool)
     model = None
     current, keep = labels.copy(), np.ones(len(texts), bool)
     for _ in range(rounds):
@@ -158,16 +225,24 @@ def fit(texts: list[str], labels: list[str], rounds: int = 3) -> LanguageModel:
         minus = np.stack([share[:, code[:, b] < 0].max(1) for b in range(BITS)], 1)
         weights = np.log((plus + 0.3) / (minus + 0.3)).astype(np.float32)
         weights[counts.sum(1) == 0] = 0
-        words = frozenset(zlib.crc32(u.encode()) for k, u in enumerate(table) if not wide[k] and by_unit[k].sum() >= 3)
+        words = frozenset(zlib.crc32(u.encode()) for k, u in enumerate(table) if latin[k] and by_unit[k].sum() >= 3)
         model = LanguageModel(weights, np.ones(BITS, np.float32), words)
-        sums = model.sums([UNIT.findall(t[:SAMPLE_CHARS].lower()) for t in texts])
-        wrong = (np.sign(sums) != code[current]).mean(0)
+        sums = model.sums(texts)
+        wrong = (np.sign(sums) != code[current]).mean(0) if len(texts) else np.zeros(BITS)
         model.reliability = np.clip(1 - 2 * wrong, 0.2, 1).astype(np.float32)
         scores = model.decode(sums)
         current = scores.argmax(1)
         ordered = np.sort(scores, axis=1)
         keep = ordered[:, -1] - ordered[:, -2] > 5
-    return model
+    if model is not None:
+        folded = {u: _folded(u) for k, u in enumerate(table) if latin[k]}
+        # a word belongs to a language that uses it at least a fifth as often as the one that uses it most
+        often = by_unit / np.maximum(by_unit.sum(0), 1)
+        belongs = (by_unit >= 3) & (often * 5 >= often.max(1, keepdims=True))
+        model.vocabulary = [frozenset(folded[u] for u, k in table.items() if latin[k] and belongs[k, c]) for c in range(len(LANGUAGES))]
+        shares = [[model.known_share(texts[k], c)[0] for k in np.flatnonzero(keep & (current == c)).tolist()[:200]] for c in range(len(LANGUAGES))]
+        model.usual = [float(np.median(x)) if x else 0.0 for x in shares]
+    return model, current
 
 
 def normal_label(label: Column) -> Column:
@@ -197,6 +272,11 @@ def _cheapest(scores: np.ndarray, switch: float) -> np.ndarray:
     return out
 
 
+def _is_sentence(line: str, units: list[str]) -> bool:
+    """Whether a line is running text by itself: it ends like a sentence and has enough words for one."""
+    return quality.END.search(line.rstrip()) is not None and len(units) >= (15 if ord(units[0][0]) >= 0x3000 else 7)
+
+
 def text_segments(texts: list[str | None], model: LanguageModel, switch: float = SWITCH) -> list[list[tuple[int, str, float, bool, int]]]:
     """Of each text its segments: first line (from 1), language, confidence, whether ambiguous, words."""
     lines: list[list[str]] = []
@@ -211,8 +291,6 @@ def text_segments(texts: list[str | None], model: LanguageModel, switch: float =
             kinds = None
             if letters < 0.82 * solid or LONG_WORD.search(lowered) or text.count("|") + text.count("\t") > 3 or quality.repeated(text.strip()):
                 _, kinds = quality.line_kinds(text) if not quality.repeated(text.strip()) else (None, [quality.JUNK] * len(found))
-                if len(kinds) != len(found):
-                    kinds = None
             words = 0
             rows: list[list[str]] = []
             for i, units in enumerate(found):
@@ -222,12 +300,12 @@ def text_segments(texts: list[str | None], model: LanguageModel, switch: float =
                     rows.append(units)
                     mine.append(i + 1)
                     words += len(units)
-            if kinds and quality.TABLE in kinds and words < 0.5 * sum(map(len, found)):
-                tables = sum(k == quality.TABLE for k in kinds)
-                if tables >= len(mine):
-                    mine, rows = [], []  # the heading of a table of figures is no running text
-            if kinds and quality.JUNK in kinds and sum(k == quality.JUNK for k in kinds) > len(mine):
-                mine, rows = [], []
+            figures = sum(k == quality.TABLE for k in kinds) if kinds else 0
+            garbled = sum(k == quality.JUNK for k in kinds) if kinds else 0
+            if figures and words < 0.5 * sum(map(len, found)) and figures >= len(mine) or garbled > len(mine):
+                # the heading of a table of figures is no running text, but a sentence beside it is
+                kept = [k for k, i in enumerate(mine) if _is_sentence(text.split("\n")[i - 1], rows[k])] if figures >= garbled else []
+                mine, rows = [mine[k] for k in kept], [rows[k] for k in kept]
             lines.extend(rows)
         numbers.append(mine)
     sums = model.sums(lines)
@@ -239,14 +317,23 @@ def text_segments(texts: list[str | None], model: LanguageModel, switch: float =
         n = len(mine)
         segments: list[tuple[int, str, float, bool, int]] = []
         if n:
-            part = scores[at : at + n]
-            path = np.full(n, tops[at]) if (tops[at : at + n] == tops[at]).all() else _cheapest(part, switch)
+            strange = np.array([model.is_strange(lines[at + k], tops[at + k]) for k in range(n)])
+            if (tops[at : at + n] == tops[at]).all() and (strange == strange[0]).all():
+                path = np.full(n, len(LANGUAGES) if strange[0] else tops[at])
+            else:  # one more column: a line is strange, is not, or has too few words to say
+                top = scores[at : at + n].max(1)
+                few = np.array([sum(ord(u[0]) < 0x370 for u in lines[at + k]) < FEW_WORDS for k in range(n)])
+                path = _cheapest(np.column_stack([scores[at : at + n], np.where(strange, top + 2 * switch, np.where(few, top - 1.5 * switch, top - 2 * switch))]), switch)
             cuts = [0, *(np.flatnonzero(np.diff(path)) + 1).tolist(), n]
             for a, b in zip(cuts, cuts[1:], strict=False):
                 total = model.decode(sums[at + a : at + b].sum(0, keepdims=True))[0]
-                chance = np.exp((total - total.max()) / 4)
-                confidence = float(chance[path[a]] / chance.sum())
-                segments.append((mine[a], LANGUAGES[path[a]], confidence, confidence < 0.8, sum(map(len, lines[at + a : at + b]))))
+                units = [u for line in lines[at + a : at + b] for u in line]
+                if path[a] < len(LANGUAGES):
+                    confidence = float(model.probability(total)[path[a]])
+                    segments.append((mine[a], LANGUAGES[path[a]], confidence, confidence < 0.8, len(units)))
+                else:
+                    nearest = int(total.argmax())
+                    segments.append((mine[a], OTHER, 1 - float(model.probability(total)[nearest]) * model.known_share(units, nearest)[0], True, len(units)))
         out.append(segments)
         at += n
     return out
@@ -266,8 +353,9 @@ def language_segments(items: DataFrame, model: LanguageModel, label: str = "labe
     """``keys, first_line int, language, confidence, ambiguous, words, label, is_case`` of each segment of each item.
 
     ``label`` comes out as the code it spells (null where missing). ``is_case``: the label is
-    missing or another language, or the text has several. Null, empty and blank texts, tables of
-    figures and junk have no segments. Repeated rows count like all others; extra columns are dropped.
+    missing or another language, or the text has several. Running words in none of the languages are
+    ``other``, flagged as ambiguous. The confidence is calibrated on texts left out of the fit. Null,
+    empty and blank texts, tables of figures and junk have no segments. Repeated rows count like all others; extra columns are dropped.
     """
     kept = ", ".join(f"`{k}` {items.schema[k].dataType.simpleString()}" for k in keys)
     schema = f"{kept}, first_line int, language string, confidence double, ambiguous boolean, words int, label string, is_case boolean"

@@ -91,3 +91,48 @@ def test_operator(spark, trained):
     whole = {r.item_id: r for r in L.item_languages(L.language_segments(df, trained)).collect()}
     assert set(whole) == {"1", "2", "3", "6", "7"} and whole["3"].language == "fr" and whole["3"].confidence > 0.9
     assert whole["7"].languages == 2 and 0.4 < whole["7"].confidence < 0.9
+
+
+STRANGERS = {
+    "it": "La crescita in Canada è stata più forte che negli altri paesi. Non vediamo molte ragioni per comprare le banche dopo una corsa di questo genere, ma aggiungeremmo in caso di debolezza.",
+    "nl": "De groei in Canada is sterker geweest dan in de andere landen. Wij zien weinig reden om banken te kopen na zo'n stijging, maar we zouden bijkopen bij zwakte.",
+    "pt": "O crescimento no Canadá foi mais forte do que nos outros países. Não vemos muitas razões para comprar bancos depois de uma subida destas, mas compraríamos em caso de fraqueza.",
+    "ko": "캐나다의 성장은 다른 나라보다 강했다. 우리는 이러한 상승 이후 은행을 살 이유를 거의 찾지 못한다.",
+    "ru": "Рост в Канаде был сильнее, чем в других странах. Мы не видим причин покупать банки.",
+}
+
+
+def test_other_languages_are_told_as_other(trained):
+    for name, text in STRANGERS.items():
+        (first, found, _, ambiguous, _), = L.text_segments([text], trained)[0]
+        assert (first, found, ambiguous) == (1, L.OTHER, True), name
+    mixed = "\n".join([STRANGERS["pt"], "\n".join(SAMPLES["es"]), STRANGERS["ko"]])
+    assert [(a, lang) for a, lang, *_ in L.text_segments([mixed], trained)[0]] == [(1, "other"), (2, "es"), (5, "other")]
+    assert [s[1] for s in L.text_segments([SAMPLES["zh"][0] + "\n주요 위험\n" + SAMPLES["zh"][1]], trained)[0]] == ["zh"]  # a stray heading
+
+
+def test_a_lone_carriage_return_ends_no_line(trained):
+    assert L.text_segments(["a;1;2\nb;3;4\rx\nc;5;6\nd;7;8"], trained) == [[]]
+    assert [(a, lang) for a, lang, *_ in L.text_segments(["\n".join(SAMPLES["en"]).replace(" ", "\r", 2)], trained)[0]] == [(1, "en")]
+
+
+def test_a_sentence_beside_a_table_has_its_language(trained):
+    table = "\n".join(f"row {i};{i}.5;{i * 7}%" for i in range(12))
+    assert [(a, lang) for a, lang, *_ in L.text_segments([table + "\n" + SAMPLES["de"][1]], trained)[0]] == [(13, "de")]
+    assert L.text_segments(["Name and value\n" + table], trained) == [[]]
+
+
+def test_the_confidence_is_what_it_says(trained):
+    """Of short pieces that the sample has not seen, those with a confidence around p are right in about that share."""
+    sure, right = [], []
+    for k, lines in SAMPLES.items():
+        for line in lines:
+            units = L.UNIT.findall(line.lower())
+            for size in (1, 2, 3):
+                for i in range(len(units) - size + 1):
+                    chance = trained.probability(trained.decode(trained.sums([units[i : i + size]])))[0]
+                    sure.append(chance.max())
+                    right.append(L.LANGUAGES[chance.argmax()] == k)
+    for low, high in ((0.0, 0.6), (0.6, 0.9), (0.9, 1.01)):
+        part = [(s, r) for s, r in zip(sure, right, strict=True) if low <= s < high]
+        assert len(part) > 10 and abs(sum(s for s, _ in part) - sum(r for _, r in part)) < 0.2 * len(part), (low, len(part))
