@@ -30,7 +30,7 @@ BUCKETS = 1 << 13
 WIDTH = 16
 HIDDEN = 24
 WEIGHTS = os.path.join(os.path.dirname(__file__), "blocks.npz")
-CJK = "぀-ヿ㐀-䶿一-鿿豈-﫿ｦ-ﾟ"
+CJK = "\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f"
 TOKEN = re.compile(rf"[{CJK}]|(?:(?![{CJK}])[^\W_])+|[^\w\s]")
 SENTENCE = re.compile(r"[.!?](?=[\"”’»)]*(?:\s+[^\W\d_a-zß-ÿ]|$))|[。！？](?=[”’」』]*)")
 MARK = re.compile(r"\s*(?:[•·▪*>–-]|\d{1,3}[.)]|\[ ?\])\s+")

@@ -1,11 +1,12 @@
 """Problem 5: items larger than a limit into overlapping pieces that end where the text pauses.
 
-Method: boundary tables. All breaks of a text are found at once, with their kind, and the
-chain of pieces is then walked over the table of positions. A giant file is processed by byte
-ranges: each range is read with halos on either side, its breaks are found there, and only
-breaks that some piece could end at are kept; the tables of a file's ranges are stitched by
-prefix sums of their lengths, and the pieces come out as offsets without the file being loaded
-as a whole anywhere. A text in a row is one range: it is split where it is, without a shuffle.
+Method: byte ranges with halos. An item, a text in a row or a file, is a sequence of byte ranges.
+Each range is read with a halo on either side, its breaks are found there with their kind, and
+only breaks that some piece could end at are kept. The tables of an item's ranges are stitched by
+prefix sums of their lengths, and the chain of pieces is walked over the stitched table, so that
+the pieces come out as offsets. The ranges of a file are read by different workers, and nobody
+loads it as a whole; those of a text in a row, which is in memory anyway, are read one after
+another where the row is, without a shuffle.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 import os
 import re
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -47,6 +48,8 @@ _CLOSE = np.array(sorted(map(ord, CLOSERS)), np.uint32)
 _END = np.array(sorted(map(ord, ENDERS)), np.uint32)
 _FULL_END = np.array(sorted(map(ord, "。！？｡．")), np.uint32)
 CONTEXT = 48
+TEXT_RANGE = 1 << 15  # bytes of a range of a text in a row
+HALO = 1024
 NEXT = re.compile(r"[\"'“‘«„(\[¿¡]*([^\W_]+)")
 
 
@@ -116,26 +119,20 @@ def boundaries(text: str) -> tuple[np.ndarray, np.ndarray]:
     lines = np.concatenate([[0], np.cumsum(codes == 10)])
     breaks = lines[ends] - lines[starts]
     kinds = np.where(breaks >= 2, PARAGRAPH, np.where(breaks == 1, LINE, SPACE)).astype(np.int8)
-    # sentence ends before white space: step back over closing quotes
-    back = starts - 1
-    for _ in range(4):
-        step = (back > 0) & _is(codes[np.maximum(back, 0)], _CLOSE)
-        if not step.any():
-            break
-        back = back - step
+    closing = _is(codes, _CLOSE)
+    # sentence ends before white space: step back over all closing quotes
+    last_open = np.maximum.accumulate(np.where(closing, -1, np.arange(n)))
+    back = np.where(starts > 0, last_open[np.maximum(starts - 1, 0)], -1)
     for k in np.flatnonzero((breaks == 0) & (back >= 0) & _is(codes[np.maximum(back, 0)], _END)).tolist():
-        s, e = int(starts[k]), int(ends[k])
-        if really_ends(text[max(0, s - CONTEXT) : s], text[e : e + 24]):
+        s, e, mark = int(starts[k]), int(ends[k]), int(back[k])
+        if really_ends(text[max(0, mark + 1 - CONTEXT) : s], text[e : e + 24]):
             kinds[k] = SENTENCE
     # full-width sentence ends with no white space after them
+    next_open = np.minimum.accumulate(np.where(closing, n, np.arange(n))[::-1])[::-1]
     at = np.flatnonzero(_is(codes, _FULL_END)) + 1
-    for _ in range(4):
-        step = (at < n) & _is(codes[np.minimum(at, n - 1)], _CLOSE)
-        if not step.any():
-            break
-        at = at + step
+    at = next_open[at[at < n]]
     at = at[at < n]
-    at = np.unique(at[~space[at] & ~_is(codes[at], _FULL_END) & ~_is(codes[at], _CLOSE)])
+    at = np.unique(at[~space[at] & ~_is(codes[at], _FULL_END)])
     positions = np.concatenate([ends, at])
     kinds = np.concatenate([kinds, np.full(len(at), SENTENCE, np.int8)])
     order = np.argsort(positions, kind="stable")
@@ -162,10 +159,19 @@ def chain(positions: np.ndarray, kinds: np.ndarray, length: int, limit: int, ove
     return pieces
 
 
-def split_text(text: str, limit: int, overlap: int) -> list[tuple[int, int]]:
+def stitched(tables: list[tuple[int, np.ndarray, np.ndarray]], limit: int, overlap: int) -> list[tuple[int, int]]:
+    """The pieces of an item from the tables of its ranges in order: characters, breaks relative to the first, kinds."""
+    offsets = np.concatenate([[0], np.cumsum([count for count, _, _ in tables])])
+    positions = np.concatenate([p + o for (_, p, _), o in zip(tables, offsets, strict=False)])
+    return chain(positions, np.concatenate([k for _, _, k in tables]), int(offsets[-1]), limit, overlap)
+
+
+def split_text(text: str, limit: int, overlap: int, range_bytes: int = TEXT_RANGE) -> list[tuple[int, int]]:
     if len(text) <= limit:
         return [(0, len(text))] if text else []
-    return chain(*boundaries(text), len(text), limit, overlap)
+    data = text.encode("utf-8", "replace")
+    read = lambda a, b: data[a:b]
+    return stitched([range_table(read, a, min(len(data), a + range_bytes), len(data), limit) for a in range(0, len(data), range_bytes)], limit, overlap)
 
 
 def split_texts(df: DataFrame, key: str, text: str, limit: int, overlap: int) -> DataFrame:
@@ -206,25 +212,32 @@ def needed(positions: np.ndarray, kinds: np.ndarray, limit: int, low: int, high:
     return keep
 
 
-def _read(path: str, start: int, end: int) -> bytes:
-    with open(path, "rb") as file:
-        file.seek(start)
-        return file.read(end - start)
+def file_reader(path: str) -> Callable[[int, int], bytes]:
+    def read(start: int, end: int) -> bytes:
+        with open(path, "rb") as file:
+            file.seek(start)
+            return file.read(end - start)
 
+    return read
 
-def range_table(path: str, start: int, end: int, size: int, limit: int, halo: int = 4096) -> tuple[int, np.ndarray, np.ndarray]:
-    """Characters that begin in bytes [start, end) of a UTF-8 file, and the breaks there, relative to the first of them."""
+
+def range_table(read: Callable[[int, int], bytes], start: int, end: int, size: int, limit: int, halo: int = HALO) -> tuple[int, np.ndarray, np.ndarray]:
+    """Characters that begin in bytes [start, end) of UTF-8 of ``size`` bytes, and the breaks there, relative to the first of them.
+
+    A halo of nothing but white space and closing marks is widened until what they belong to is in sight.
+    """
     left, right = max(0, start - halo), min(size, end + halo)
     while True:
-        data = _read(path, left, right)
+        data = read(left, right)
         inner = data[start - left : end - left]
         head, tail = data[: start - left].decode("utf-8", "ignore"), data[end - left :].decode("utf-8", "ignore")
-        head_open = left > 0 and not head.strip()
-        tail_open = right < size and not tail.strip()
+        head_open = left > 0 and not "".join(head.split()).strip(CLOSERS)
+        tail_open = right < size and not "".join(tail.split()).strip(CLOSERS)
         if not (head_open or tail_open):
             break
-        left = max(0, left - 4 * halo) if head_open else left
-        right = min(size, right + 4 * halo) if tail_open else right
+        halo *= 4
+        left = max(0, start - halo) if head_open else left
+        right = min(size, end + halo) if tail_open else right
     raw = np.frombuffer(data, np.uint8)
     first = (raw & 0xC0) != 0x80
     skip = int(np.argmax(first)) if first.any() else 0
@@ -255,15 +268,13 @@ def split_files(spark: SparkSession, paths: list[str], limit: int, overlap: int,
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             for r in rows.itertuples(index=False):
-                count, positions, kinds = range_table(r.path, r.low, r.high, r.size, limit)
+                count, positions, kinds = range_table(file_reader(r.path), r.low, r.high, r.size, limit)
                 yield pd.DataFrame({"path": [r.path], "range_no": [r.range_no], "chars": [count], "positions": [positions.astype(np.int64).tobytes()], "kinds": [kinds.tobytes()]})
 
     def stitch(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("range_no")
-        offsets = np.concatenate([[0], np.cumsum(rows["chars"].to_numpy())])
-        positions = np.concatenate([np.frombuffer(p, np.int64) + o for p, o in zip(rows["positions"], offsets, strict=False)])
-        kinds = np.concatenate([np.frombuffer(k, np.int8) for k in rows["kinds"]])
-        pieces = chain(positions, kinds, int(offsets[-1]), limit, overlap)
+        tables = [(n, np.frombuffer(p, np.int64), np.frombuffer(k, np.int8)) for n, p, k in zip(rows["chars"], rows["positions"], rows["kinds"], strict=True)]
+        pieces = stitched(tables, limit, overlap)
         return pd.DataFrame({"path": rows["path"].iloc[0], "piece_no": np.arange(1, len(pieces) + 1), "start_pos": [a for a, _ in pieces], "end_pos": [b for _, b in pieces]})
 
     tables = ranges.repartition(max(1, len(plan)), "path", "range_no").mapInPandas(scan, "path string, range_no long, chars long, positions binary, kinds binary")

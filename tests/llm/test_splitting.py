@@ -33,12 +33,19 @@ def test_chain_like_plain_rules(text, limit):
     assert P.split_text(text, limit, limit // 10) == (plain(text, limit, limit // 10) if len(text) > limit else ([(0, len(text))] if text else []))
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from(["a", "Bc", " ", ". ", "\n", "\n\n", "。", "！”", "”" * 7, "? ", "　", " " * 40, "7", "e.g. ", "👍"]), max_size=200).map("".join), st.integers(4, 40), st.integers(5, 90))
+def test_a_text_by_small_ranges_like_the_whole(text, limit, size):
+    if len(text) > limit:
+        assert P.split_text(text, limit, limit // 10, size) == plain(text, limit, limit // 10)
+
+
 @pytest.mark.parametrize(
     "text,ends",
     [
         ("Growth beat the U.S. Several U.S. Treasury auctions drew weak demand.", ["U.S. "]), ("Rose by 3% (cf. Fig. 7). Third came.", ["7). "]), ('It said: "We wait." Then it left.', ['wait." ']), ("Im 3. Quartal flossen 10 Mio. EUR ab. Danach kam z. B. Gold.", ["ab. "]),
         ("La bolsa de EE. UU. subió, p. ej. hoy. Luego bajó.", ["hoy. "]), ("Faut-il acheter ? Selon l'art. 3 de la note, oui.", ["? "]), ("It gained 5%... and fell. Est. turnover rose.", ["fell. "]), ("In banks, etc. Since Sept. 2025 it rose.", ["etc. "]), ("Margins at X Corp. and others. No. 4 rose.", ["others. "]),
-        ("结束。”接着说。他走了……还没完。对吗？是", ["。”", "说。", "完。", "？"]), ("SUBIÓ, P. EJ. SI CAE. LUEGO BAJÓ, P. EX. SI", ["CAE. "]), ("ONE. TWO I.E. THREE CORP. AND FOUR. FIVE", ["ONE. ", "FOUR. "]),
+        ("He said “so be it.”)”)”)” Then he left.", [".”)”)”)” "]), ("完。”’）”’）”接着", ["。”’）”’）”"]), ("结束。”接着说。他走了……还没完。对吗？是", ["。”", "说。", "完。", "？"]), ("SUBIÓ, P. EJ. SI CAE. LUEGO BAJÓ, P. EX. SI", ["CAE. "]), ("ONE. TWO I.E. THREE CORP. AND FOUR. FIVE", ["ONE. ", "FOUR. "]),
     ],
 )
 def test_sentences_end_where_they_do(text, ends):
