@@ -24,19 +24,36 @@ DATE_PATTERN = (
     r"\b(?:20\d{2}|19\d{2})(?:[-/.年](?:0?[1-9]|1[0-2]))?(?:[-/.月](?:0?[1-9]|[12]\d|3[01]))?日?\b"
     r"|\b(?:jan|feb|mar|apr|may|jun|jul|aug|sep|sept|oct|nov|dec)[a-z]*\.?\s+\d{1,2},?\s+20\d{2}\b"
 )
-#: Spellings of units, the class each belongs to and the size of one.
-UNIT_CLASSES = {
-    "percent": {"%": 1.0, "pct": 1.0},
-    "percent_point": {"ppt": 1.0, "ppts": 1.0, "percentage point": 1.0, "percentage points": 1.0, "个百分点": 1.0},
-    "bps": {"bps": 1.0, "bp": 1.0, "个基点": 1.0, "基点": 1.0},
-    "multiple": {"x": 1.0, "times": 1.0, "倍": 1.0},
-    "cny": {"元": 1.0, "人民币": 1.0, "万元": 1e4, "亿元": 1e8, "万亿元": 1e12},
-    "usd": {"美元": 1.0, "万美元": 1e4, "亿美元": 1e8},
-    "generic_amount": {"万": 1e4, "亿": 1e8, "万亿": 1e12, "mn": 1e6, "million": 1e6, "bn": 1e9, "billion": 1e9, "tn": 1e12, "trn": 1e12, "trillion": 1e12},
+#: Spellings of units: the class of each and the size of one (fixed values).
+QUANTITY_UNITS = {
+    "%": ("percent", 1.0), "pct": ("percent", 1.0),
+    "ppt": ("percent_point", 1.0), "ppts": ("percent_point", 1.0), "percentage point": ("percent_point", 1.0), "percentage points": ("percent_point", 1.0),
+    "bps": ("bps", 1.0), "bp": ("bps", 1.0), "个基点": ("bps", 1.0), "基点": ("bps", 1.0), "个百分点": ("percent_point", 1.0),
+    "x": ("multiple", 1.0), "times": ("multiple", 1.0), "倍": ("multiple", 1.0),
+    "元": ("cny", 1.0), "人民币": ("cny", 1.0), "万元": ("cny", 1e4), "万亿元": ("cny", 1e12),
+    "亿": ("generic_amount", 1e8), "万": ("generic_amount", 1e4), "万亿": ("generic_amount", 1e12), "亿元": ("cny", 1e8),
+    "美元": ("usd", 1.0), "万美元": ("usd", 1e4), "亿美元": ("usd", 1e8),
+    "mn": ("generic_amount", 1e6), "million": ("generic_amount", 1e6), "bn": ("generic_amount", 1e9), "billion": ("generic_amount", 1e9),
+    "tn": ("generic_amount", 1e12), "trn": ("generic_amount", 1e12), "trillion": ("generic_amount", 1e12),
+}
+#: How well two quantities agree: by relative difference up to so much, by classes that may mean the same, and the weights of both (fixed values).
+VALUE_STEPS = ((0.002, 1.0), (0.01, 0.92), (0.05, 0.75))
+PLAIN_AGREEMENT, AMOUNT_AGREEMENT = 0.65, 0.72
+VALUE_WEIGHT, UNIT_WEIGHT = 0.78, 0.22
+#: What gives a number a context, and what tells that a number says nothing (fixed values).
+NUMERIC_CONTEXT = {
+    "unit": r"(?i)[%$¥元亿万]|bps|bn|mn|trn|pct|percentage|percent",
+    "date": r"(?i)\b20\d{2}\b|年|季度|quarter|q[1-4]",
+    "direction": r"(?i)increase|decrease|growth|decline|up|down|提升|下降|增长|回落|上升",
+    "name": r"[\x{4e00}-\x{9fff}]{2,}|[A-Z][A-Za-z&.\-]{2,}",
 }
-#: Terms that speak of risk, scenarios, sources and reasoning, and the groups a report should touch.
-RISK_TERMS = "risk downside volatility uncertainty 风险 波动 不确定".split()
-SCENARIO_TERMS = ["scenario", "base case", "upside", "downside", "情景", "基准情形"]
+NUMERIC_UNIT = r"(?i)[%$€£¥元亿万]|bps?|pct|trillion|billion|million|thousand|bn|mn|trn|years?|months?|quarters?|倍|个百分点|个基点"
+DOCUMENT_CODE = r"\b[A-Z]{2,}\d{3,}(?:-\d+)*(?:/\d+)?\b"
+IMPRINT_TERMS = ["volume ", "edited by", "isbn", "copyright", "all rights reserved", "page ", "页码"]
+YEARS, TINY, MANY_NUMBERS, FEW_OTHERS = (1900, 2100), 3, 8, 2
+#: Terms that speak of risk, scenarios, sources and reasoning, and the groups a report should touch (fixed values).
+RISK_TERMS = ["risk", "uncertainty", "volatility", "policy", "execution", "market", "data limitation", "风险", "不确定", "波动", "政策", "执行", "市场", "数据"]
+SCENARIO_TERMS = ["base case", "upside", "downside", "scenario", "sensitivity", "bear", "bull", "基准", "上行", "下行", "情景", "敏感性"]
 SOURCE_TERMS = ["source", "according to", "数据来源", "资料来源", "来源"]
 #: Statements of a source in a text, up to ``{rest}``; and names that give a source authority.
 SOURCE_STATEMENT = (
@@ -60,7 +77,6 @@ SECTION_GROUPS = {
     "risk": RISK_TERMS,
     "closing": ["appendix", "disclaimer", "important information", "references", "免责声明", "附录"],
 }
-DIRECTION_TERMS = ["increase", "decrease", "growth", "decline", "up", "down", "提升", "下降", "增长", "回落", "上升"]
 #: Severity order of issues; anything else comes last.
 SEVERITY_RANK = {"blocker": 0, "high": 1, "medium": 2, "low": 3}
 UNKNOWN_RANK = 9

@@ -15,7 +15,7 @@ RETRIEVAL_WEIGHTS = {"token_overlap": 0.50, "number_similarity": 0.35, "hint_ove
 
 
 def chunked(documents: DataFrame, key: str, text: str, size: int = 900, neighbours: int = 0, most: int | None = None) -> DataFrame:
-    """``key, chunks``: for each document its chunks, or the first ``most``, with their text, tokens, numbers and quantities.
+    """``key, chunks``: for each document its chunks, or the first ``most``, with their text, tokens, numbers, quantities and dates.
 
     With ``neighbours`` each chunk is read together with as many before and after it. A document is one
     row, so nothing is shuffled, and tokens are taken once per chunk instead of once per pair.
@@ -23,9 +23,10 @@ def chunked(documents: DataFrame, key: str, text: str, size: int = 900, neighbou
     chunks = X.chunk_paragraphs(F.col(text), size, most)
     spread = documents.select(key, chunks.alias("__c"))
     wide = F.transform("__c", lambda _, i: F.array_join(F.slice(F.col("__c"), F.greatest(F.lit(1), i + 1 - neighbours), F.lit(neighbours) + F.least(i, F.lit(neighbours)) + 1), "\n\n")) if neighbours else F.col("__c")
-    spread = spread.select(key, wide.alias("__w")).select(key, "__w", N.parse_quantities_each("__w").alias("__q"))
-    quantities = lambda i: F.transform(F.get("__q", i), lambda q: F.struct(q["unit_class"].alias("unit_class"), q["value"].alias("value")))
-    return spread.select(key, F.transform("__w", lambda c, i: F.struct(c.alias("text"), X.token_set(X.collapse_spaces(F.lower(c))).alias("tokens"), N.extract_numbers(c).alias("numbers"), quantities(i).alias("quantities"))).alias("chunks"))
+    spread = spread.select(key, wide.alias("__w"))
+    quantities = lambda c: F.transform(N.parse_quantities(c), lambda q: F.struct(q["unit_class"].alias("unit_class"), q["value"].alias("value")))
+    facts = lambda c: F.struct(c.alias("text"), X.token_set(X.collapse_spaces(F.lower(c))).alias("tokens"), N.extract_numbers(c).alias("numbers"), quantities(c).alias("quantities"), N.extract_dates(c).alias("dates"))
+    return spread.select(key, F.transform("__w", facts).alias("chunks"))
 
 
 def evidence_packs(facts: DataFrame, chunks: DataFrame, key: str, fact_id: str, claim: str, top_k: int = 5, hint: str | None = None, weights: dict[str, float] = RETRIEVAL_WEIGHTS) -> DataFrame:
@@ -45,7 +46,7 @@ def evidence_packs(facts: DataFrame, chunks: DataFrame, key: str, fact_id: str,
 
     def score(c: Column) -> Column:
         number = F.when(F.size("__n") > 0, N.number_similarity(F.col("__n"), c["numbers"], F.col("__q"), c["quantities"])).otherwise(F.lit(0.0))
-        date = F.when(F.size("__d") > 0, N.date_share(F.col("__d"), N.extract_dates(c["text"]))).otherwise(F.lit(0.0))
+        date = F.when(F.size("__d") > 0, N.date_share(F.col("__d"), c["dates"])).otherwise(F.lit(0.0))
         words = weights["token_overlap"] * X.overlap_ratio(F.col("__t"), c["tokens"]) + weights["hint_overlap"] * X.overlap_ratio(F.col("__h"), c["tokens"])
         return words + weights["number_similarity"] * number + weights["date_similarity"] * date
 

@@ -46,9 +46,9 @@ def scored_reports(reports: DataFrame, key: str, text: str, weights: dict[str, f
 def numeric_discipline(reports: DataFrame, key: str, text: str) -> DataFrame:
     """Share of sentences with telling numbers, and of those the share with context, for each report; 0 without any."""
     sentences = X.split_sentences(F.col(text))
-    telling = F.filter(sentences, classify.analytical_numeric)
+    telling = F.filter(sentences, lambda s: classify.analytical_numeric(s))
     counted = reports.select(key, F.size(sentences).alias("n_sentences"), telling.alias("__t"))
-    with_context = F.size(F.filter("__t", classify.has_numeric_context))
+    with_context = F.size(F.filter("__t", lambda s: classify.has_numeric_context(s)))
     share = lambda a, b: F.when(b > 0, F.round(a / b, 4)).otherwise(F.lit(0.0))
     return counted.select(key, "n_sentences", F.size("__t").alias("n_numeric"), share(F.size("__t"), F.col("n_sentences")).alias("numeric_share"), share(with_context, F.size("__t")).alias("context_share"))
 
