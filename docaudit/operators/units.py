@@ -2,10 +2,9 @@
 
 ``declared_quantities`` reads each recorded number with the unit and scale that its source
 states: in the entry itself, in the unit hint, or in the texts around it; scale and currency
-may stand in different places. Where a number can be read in several ways (a separator that may
-group digits or mark decimals), each is decided by the squared log residual about the median of the
-record's unambiguous numbers; without any, the usual reading is taken and flagged. Lines of over 80
-characters in captions and nearby texts are not searched for a unit.
+may stand in different places. Where numbers can be read in several ways (a separator that may
+group digits or mark decimals), those of a record are decided together: the combination of least log
+residuals, an unusual reading having a price, and a flag where another reading does as well.
 
 ``identity_units`` needs no statement at all: where columns obey a product identity, such as
 mass = density x volume, it picks per group of rows the combination of units with the least
@@ -92,8 +91,9 @@ NUMBER = re.compile(r"\d(?:[\d.,'’    ]*\d)?")
 LEAD = re.compile(r"^(?:单位|單位|单位是|unit|units|einheit|unité|unidad|単位)\s*[:：=]?\s*|^(?:in|en)\s+", re.I)
 BRACKETS = re.compile(r"[(（\[【]((?:[^()（）\[\]【】]|[(（][^()（）]*[)）])*)[)）\]】]")
 TAIL = re.compile(r"(?:^|.*?[:：=]\s*|.*\bin\s+|.*?,\s+)(?=\S)")
-MAX_PHRASE = 48
-MAX_STATEMENT = 1000
+#: No phrase is longer than a lead, a unit, a scale and what joins them, in two pairs of brackets.
+MAX_PHRASE = max(map(len, _UNITS)) + max(map(len, _SCALES)) + 32
+UNUSUAL = 4.0  # price of an unusual reading: it must bring the numbers of a record together by two orders of magnitude
 
 
 def _look(table: dict[str, tuple], word: str) -> tuple | None:
@@ -130,23 +130,25 @@ def unit_phrase(text: str) -> tuple[str | None, Decimal | None, Decimal | None]:
 NOTHING = (None, None, None)
 
 
-@lru_cache(maxsize=50_000)
 def stated_unit(line: str) -> tuple[str | None, Decimal | None, Decimal | None]:
     """The unit that a line of text states: as the whole line, in brackets, or behind a colon, ``=``, ``in`` or the last comma."""
-    s = unicodedata.normalize("NFKC", line).strip()
+    return _stated_short(line) if len(line) <= 200 else _stated(line)  # long lines would fill the table
+
+
+def _stated(line: str) -> tuple[str | None, Decimal | None, Decimal | None]:
+    s = " ".join(unicodedata.normalize("NFKC", line).split())
     if not s:
         return NOTHING
     found = unit_phrase(s)
     if found != NOTHING:
         return found
-    s = s[-MAX_STATEMENT:]  # a unit stands behind what it is the unit of
     for inner in reversed(BRACKETS.findall(s)):
         found = unit_phrase(inner)
         if found != NOTHING:
             return found
     if s[-1:] in ")]】":  # nested brackets, as in [multiple (x)]
-        for k, c in enumerate(s):
-            if c in "([【":
+        for k in range(max(0, len(s) - MAX_PHRASE - 2), len(s)):
+            if s[k] in "([【":
                 found = unit_phrase(s[k + 1 : -1])
                 if found != NOTHING:
                     return found
@@ -158,6 +160,9 @@ def stated_unit(line: str) -> tuple[str | None, Decimal | None, Decimal | None]:
     return NOTHING
 
 
+_stated_short = lru_cache(maxsize=50_000)(_stated)
+
+
 def readings(digits: str) -> list[Decimal]:
     """All values that a string of digits and separators may stand for, the likeliest first."""
     s = re.sub("[    '’]", "", digits)
@@ -235,21 +240,39 @@ def _resolve(own: tuple, places: list[tuple]) -> tuple[str, Decimal] | None:
     return None
 
 
-def _choose(options: list[list[Decimal]]) -> list[tuple[Decimal, bool]]:
-    """Of each entry's readings the usual one, unless another is far nearer to the median of the unambiguous entries, and whether it is unique."""
-    out = [(o[0], True) for o in options]
+def _choose(options: list[list[Decimal]], unusual: float = UNUSUAL) -> list[tuple[Decimal, bool]]:
+    """One reading of each entry of a record: of all combinations the one of least log residuals, and whether each is unique.
+
+    The residuals are the squared distances of the decimal logarithms from their mean; a reading that is not the usual
+    one has a price on top. For a given mean each entry decides for itself, and its decision changes at one point; so the
+    best combination is one of those between these points, which are gone through in order. A reading is unique if
+    the entry has no other or if the other alone makes the residuals larger by at least 1.
+    """
     open_at = [i for i, o in enumerate(options) if len(o) > 1 and all(o)]
-    fixed = [math.log10(abs(o[0])) for o in options if len(o) == 1 and o[0]]
-    if not open_at or not fixed:
-        return [(o[0], len(o) == 1) for o in options]
-    middle = sorted(fixed)[len(fixed) // 2]
+    out = [(o[0], len(o) == 1) for o in options]
+    if not open_at:
+        return out
+    usual = {i: math.log10(abs(options[i][0])) for i in open_at}
+    other = {i: math.log10(abs(options[i][1])) for i in open_at}
+    picked = {i: other[i] < usual[i] for i in open_at}  # as for a mean below all points
+    known = [math.log10(abs(o[0])) for o in options if len(o) == 1 and o[0]] + [other[i] if picked[i] else usual[i] for i in open_at]
+    n, total, squares, price = len(known), sum(known), sum(x * x for x in known), unusual * sum(picked.values())
+    points = sorted(((other[i] ** 2 - usual[i] ** 2 + unusual) / (2 * (other[i] - usual[i])), i) for i in open_at)
+    least, best = squares - total * total / n + price, 0
+    for k, (_, i) in enumerate(points, 1):
+        before, after = (other[i], usual[i]) if picked[i] else (usual[i], other[i])
+        total, squares, price = total + after - before, squares + after * after - before * before, price + (-unusual if picked[i] else unusual)
+        cost = squares - total * total / n + price
+        if cost < least - 1e-9:
+            least, best = cost, k
+    for _, i in points[:best]:
+        picked[i] = not picked[i]
+    known = known[: n - len(open_at)] + [other[i] if picked[i] else usual[i] for i in open_at]
+    total = sum(known)
     for i in open_at:
-        residuals = [(math.log10(abs(v)) - middle) ** 2 for v in options[i]]
-        best = min(range(len(residuals)), key=residuals.__getitem__)
-        if best and residuals[0] - residuals[best] < 4:  # the usual reading stands unless it is far off
-            best = 0
-        ranked = sorted(residuals)
-        out[i] = options[i][best], ranked[1] - ranked[0] > 1
+        x, y = (other[i], usual[i]) if picked[i] else (usual[i], other[i])
+        more = y * y - x * x - ((total + y - x) ** 2 - total**2) / n
+        out[i] = options[i][1 if picked[i] else 0], more >= 1
     return out
 
 
@@ -269,7 +292,7 @@ def record_quantities(numbers, dates, hint, title, caption, nearby) -> list[tupl
             continue
         if p[1][0] is None and places is None:
             places = [stated_unit(t) for t in (hint, title) if t]
-            places += [stated_unit(line) for t in (caption, nearby) if t for line in t.split("\n") if len(line) <= 80]
+            places += [stated_unit(line) for t in (caption, nearby) if t for line in t.split("\n")]
             places = [x for x in places if x != NOTHING]
         resolved.append(_resolve(p[1], places or []))
     known = [i for i, r in enumerate(resolved) if r]
@@ -357,3 +380,10 @@ def p3_quantities(spark, folder: str) -> DataFrame:
 
 def p3_found(spark, folder: str) -> DataFrame:
     return p3_quantities(spark, folder).select("chart_row_id", "value_no", "common_unit", "milli")
+
+
+def p3_identities(spark, folder: str) -> DataFrame:
+    """Per source the unit in which the recorded size of its documents is given, found from their texts alone."""
+    rows = spark.read.parquet(f"{folder}/documents.parquet").select("source", F.col("n_chars").alias("recorded"), F.length("text").alias("counted"))
+    found = identity_units(rows, ["source"], "recorded", ["counted"], {"recorded": {"characters": 1.0, "thousands": 1000.0, "dozens": 12.0}, "counted": {"characters": 1.0}})
+    return found.select("source", "n_rows", "unit_recorded", F.round("residual", 6).alias("residual"), "is_unique")

@@ -1,5 +1,8 @@
 """Quantities in common units: spellings, signs, separators, where units stand, and odd records."""
 
+import itertools
+import math
+import random
 from decimal import Decimal
 
 import pytest
@@ -48,6 +51,30 @@ def test_ambiguous_numbers_follow_their_record():
     assert record(["1.234", "1.2", "1.3"], hint="x")[0][1] == Decimal("1.234")
 
 
+def test_the_joint_choice_is_the_cheapest_of_all_combinations():
+    rng = random.Random(3)
+    for _ in range(400):
+        options = []
+        for _ in range(rng.randint(1, 7)):
+            v = Decimal(str(round(10 ** rng.uniform(-1, 7), 3)))
+            options.append([v, v * 1000] if rng.random() < 0.3 else [v, v / 1000] if rng.random() < 0.4 else [v])
+
+        def cost(picks, options=options):
+            x = [math.log10(o[k]) for o, k in zip(options, picks, strict=True)]
+            return sum((y - sum(x) / len(x)) ** 2 for y in x) + U.UNUSUAL * sum(k > 0 for k in picks)
+
+        got = [o.index(v) for o, (v, _) in zip(options, U._choose(options), strict=True)]
+        assert abs(cost(got) - min(map(cost, itertools.product(*(range(len(o)) for o in options))))) < 1e-6
+    assert U._choose([[Decimal(1234), Decimal("1.234")]]) == [(Decimal(1234), False)] and U._choose([]) == []
+
+
+def test_units_in_long_lines():
+    line = "Copper demand of the regions that the report covers, over the whole of the period and after all revisions of the source " * 20
+    assert record(["7"], nearby=line + "(percent)") == [("rate", Decimal(7))]
+    assert record(["7"], caption="(bp) " + line) == [("rate", Decimal("0.07"))]
+    assert record(["7"], caption=line + "in thousand    tonnes") == [("mass", Decimal(7000))]
+
+
 def test_operator_on_odd_rows(spark):
     data = [(1, None, None, None, None, None, None), (2, [], [], "%", None, None, None), (3, [None, "", "n/a", "1-2", "5"], None, "%", "", "", ""), (3, ["5"], ["5"], "%", None, None, None), (4, ["5"], None, "x" * 100_000, "y" * 100_000, None, "z\n" * 50_000)]
     df = spark.createDataFrame(data, SCHEMA).withColumn("milli", F.lit("clash"))
