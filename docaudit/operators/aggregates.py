@@ -1,7 +1,7 @@
 """Aggregates: layered summaries, histograms, statistics, worst-k blends, audits of whole sets.
 
-Several groupings of one table are one pass with GROUPING SETS; counts and sums are combined
-before the shuffle, so a hot group costs a row per task.
+Several groupings of one table are one pass over its rows, expanded into a key per grouping; counts
+and sums are combined before the shuffle, so a hot group costs a row per task.
 """
 
 from __future__ import annotations
@@ -49,11 +49,13 @@ def distributions(rows: DataFrame, fields: list[str]) -> DataFrame:
 
 def array_histogram(rows: DataFrame, arrays: list[str]) -> DataFrame:
     """``field, value, n`` of the entries of array columns; null arrays and entries do not count."""
-    parts = [rows.select(F.lit(a).alias("field"), F.explode(F.array_compact(F.col(a))).alias("value")) for a in arrays]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.groupBy("field", "value").agg(F.count("*").alias("n"))
+
+    def labelled(name: str) -> Column:
+        given = F.array_compact(F.coalesce(F.col(name), F.array().cast("array<string>")))
+        return F.transform(given, lambda v: F.struct(F.lit(name).alias("field"), v.alias("value")))
+
+    entries = F.flatten(F.array(*map(labelled, arrays)))
+    return rows.select(F.explode(entries).alias("e")).groupBy("e.field", "e.value").agg(F.count("*").alias("n"))
 
 
 def statistics(rows: DataFrame, column: str, by: list[str] | None = None) -> DataFrame:
@@ -99,11 +101,19 @@ def weighted_mean(value: Column, weight: Column) -> Column:
 def worst_blend(rows: DataFrame, by: list[str], score: str, k: int = 3, mean_weight: float = 0.7) -> DataFrame:
     """``by, n, mean_score, worst_mean, blended``: the mean blended with the mean of the ``k`` lowest scores.
 
-    The lowest are kept in a bounded heap per group: no group is gathered whole.
+    The mean is a plain aggregate; for the lowest each task's part of a group is cut to ``k`` rows before the
+    shuffle, so no group is gathered whole. Null scores do not count; null keys are a group.
     """
     x = F.col(score).cast("double")
-    ranked = rows.where(x.isNotNull()).withColumn("__rn", F.row_number().over(Window.partitionBy(*by).orderBy(x)))
-    agg = ranked.groupBy(*by).agg(F.count("*").alias("n"), F.avg(x).alias("__m"), F.avg(F.when(F.col("__rn") <= k, x)).alias("__w"))
+    known = rows.where(x.isNotNull())
+    means = known.groupBy(*by).agg(F.count("*").alias("n"), F.avg(x).alias("__m"))
+    names = [f"__k{i}" for i in range(len(by))]
+    low = known.select(*(F.col(b).alias(n) for b, n in zip(by, names, strict=True)), x.alias("__x")).withColumn("__rn", F.row_number().over(Window.partitionBy(*names).orderBy("__x"))).where(F.col("__rn") <= k)
+    low = low.groupBy(*names).agg(F.avg("__x").alias("__w"))
+    same = F.lit(True)
+    for b, n in zip(by, names, strict=True):
+        same = same & F.col(b).eqNullSafe(F.col(n))
+    agg = means.join(low, same)
     return agg.select(*by, "n", half_up(F.col("__m"), 4).alias("mean_score"), half_up(F.col("__w"), 4).alias("worst_mean"), half_up(mean_weight * F.col("__m") + (1 - mean_weight) * F.col("__w"), 4).alias("blended"))
 
 
@@ -120,11 +130,19 @@ def box_union(rows: DataFrame, by: list[str], box: str) -> DataFrame:
 
 
 def distinct_with_samples(rows: DataFrame, by: list[str], column: str, most: int = 20) -> DataFrame:
-    """Count of distinct values and the first ``most`` of them in order, joined by spaces. Distinct first, so hot keys shrink."""
+    """Count of distinct values and the first ``most`` of them in order, joined by spaces.
+
+    The values are counted by aggregate; for the samples each task's part of a group is cut to ``most`` values before
+    the shuffle, so a hot group is in no task. Null values do not count; null keys are a group.
+    """
     distinct = rows.where(F.col(column).isNotNull()).select(*by, column).distinct()
-    ranked = distinct.withColumn("__rn", F.row_number().over(Window.partitionBy(*by).orderBy(column)))
-    few = F.array_sort(F.collect_list(F.when(F.col("__rn") <= most, F.col(column))))
-    return ranked.groupBy(*by).agg(F.count("*").alias("n_distinct"), F.array_join(few, " ").alias("samples"))
+    names = [f"__k{i}" for i in range(len(by))]
+    first = distinct.select(*(F.col(b).alias(n) for b, n in zip(by, names, strict=True)), column).withColumn("__rn", F.row_number().over(Window.partitionBy(*names).orderBy(column))).where(F.col("__rn") <= most)
+    first = first.groupBy(*names).agg(F.array_join(F.array_sort(F.collect_list(column)), " ").alias("samples"))
+    same = F.lit(True)
+    for b, n in zip(by, names, strict=True):
+        same = same & F.col(b).eqNullSafe(F.col(n))
+    return distinct.groupBy(*by).agg(F.count("*").alias("n_distinct")).join(first, same).select(*by, "n_distinct", "samples")
 
 
 def completion(rows: DataFrame, status: str, failed: list[Column], seconds: str | None = None) -> DataFrame:

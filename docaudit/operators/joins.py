@@ -7,7 +7,6 @@ key never multiplies rows. No operator builds a cross product: theta joins have
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -200,8 +199,3 @@ def cluster_boxes(boxes: DataFrame, keys: list[str], id_column: str, box: str =
         return pd.DataFrame(out, columns=[*keys, id_column, "cluster_id", "x0", "y0", "x1", "y1"])
 
     return boxes.where(known).groupBy(*keys).applyInPandas(run, schema)
-
-
-def table_outputs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Passes batches through: the place where an external judge or extractor plugs in by default."""
-    yield from batches

@@ -7,7 +7,6 @@ that were cut by rank before.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -75,10 +74,20 @@ def cap_per_group(df: DataFrame, group: str, key: str, order: list[Column], most
 
 
 def diverse_top(df: DataFrame, by: list[str], group: str, order: list[Column], n: int) -> DataFrame:
-    """The best row of each group value first, then the others by order: ``n`` rows for each ``by``, with their place."""
-    within = F.row_number().over(Window.partitionBy(*by, group).orderBy(*order))
-    ranked = df.withColumn("__later", (within > 1).cast("int"))
-    return ranked.withColumn("place", F.row_number().over(Window.partitionBy(*by).orderBy("__later", *order))).where(F.col("place") <= n).drop("__later")
+    """The best row of each group value first, then the others by order: ``n`` rows for each ``by``, with their place.
+
+    ``order`` must leave no ties. The best of each group value is an aggregate, joined to tell the others; of each
+    ``by`` every task's part is cut to ``n`` rows before the shuffle, so a hot one is in no task.
+    """
+    keys = [*by, group]
+    rank = F.struct(*(o.alias(f"o{i}") for i, o in enumerate(order)))
+    best = df.groupBy(*(F.col(k).alias(f"__g{i}") for i, k in enumerate(keys))).agg(F.min(rank).alias("__best"))
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__g{i}"))
+    told = df.withColumn("__rank", rank).join(best, same).withColumn("__later", (F.col("__rank") != F.col("__best")).cast("int"))
+    place = F.row_number().over(Window.partitionBy(*by).orderBy("__later", "__rank"))
+    return told.withColumn("place", place).where(F.col("place") <= n).select(*df.columns, "place")
 
 
 def stratified(df: DataFrame, by: list[str], score: str, tie: str, most: int) -> DataFrame:
@@ -128,10 +137,13 @@ def numbered(df: DataFrame, by: list[str], order: list[Column], most: int, patte
     return top_per_group(df, by, order, most, "__rn").withColumn(out, F.format_string(pattern, "__rn")).drop("__rn")
 
 
-def object_places(df: DataFrame, by: list[str], order: list[Column]) -> DataFrame:
-    """``place`` of each row on its page and ``on_page``, how many there are."""
-    w = Window.partitionBy(*by)
-    return df.withColumn("place", F.row_number().over(w.orderBy(*order))).withColumn("on_page", F.count("*").over(w))
+def object_places(df: DataFrame, by: list[str], order: list[Column], by_sort: bool = False) -> DataFrame:
+    """``place`` of each row on its page and ``on_page``, how many there are: counted by aggregate and joined."""
+    counts = df.groupBy(*(F.col(b).alias(f"__g{i}") for i, b in enumerate(by))).agg(F.count("*").alias("on_page"))
+    same = F.lit(True)
+    for i, b in enumerate(by):
+        same = same & F.col(b).eqNullSafe(F.col(f"__g{i}"))
+    return ranked(df, by, order, "place", by_sort).join(counts, same).select(*df.columns, "place", "on_page")
 
 
 def distinct_centers(values: Column, gap: float) -> Column:
@@ -142,11 +154,15 @@ def distinct_centers(values: Column, gap: float) -> Column:
 
 
 def center_counts(df: DataFrame, by: list[str], value: Column, gap: float) -> DataFrame:
-    """``by, centers``: as ``distinct_centers``, over the rows of each group. A sort that can spill, so a hot group is never gathered."""
-    v = df.select(*by, value.alias("__v"))
-    before = F.lag("__v").over(Window.partitionBy(*by).orderBy(F.asc_nulls_last("__v")))
-    new = F.col("__v").isNotNull() & (before.isNull() | (F.col("__v") - before >= gap))
-    return v.withColumn("__new", new).groupBy(*by).agg(F.count_if("__new").alias("centers"))
+    """``by, centers``: as ``distinct_centers``, over the rows of each group.
+
+    Within a cell of width ``gap`` no value is that far behind another, so only the least and the greatest of each cell count:
+    they are aggregates, combined before the shuffle, and what is put in order per group are its cells.
+    """
+    cells = df.select(*by, value.alias("__v")).groupBy(*by, F.floor(F.col("__v") / gap).alias("__c")).agg(F.min("__v").alias("__low"), F.max("__v").alias("__high"))
+    before = F.lag("__high").over(Window.partitionBy(*by).orderBy(F.asc_nulls_last("__c")))
+    new = F.col("__c").isNotNull() & (before.isNull() | (F.col("__low") - before >= gap))
+    return cells.withColumn("__new", new).groupBy(*by).agg(F.count_if("__new").alias("centers"))
 
 
 def running_before(df: DataFrame, by: list[str], order: list[Column], value: Column, out: str = "before", by_sort: bool = False) -> DataFrame:
@@ -183,40 +199,47 @@ def flag_repeats(df: DataFrame, key: str, flag: str) -> DataFrame:
     return df.join(counts, key, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
-def quota_selection(df: DataFrame, order: list[tuple[str, bool]], quotas: dict[str, int], target: int, once: str | None = None) -> DataFrame:
+def quota_selection(df: DataFrame, order: list[tuple[str, bool]], quotas: dict[str, int], target: int, once: str | None = None, block: int = 1000) -> DataFrame:
     """Greedy choice in an order: a row is taken unless a quota of one of its values is full or its ``once`` key
-    was taken; stops at ``target``. A null ``once`` key never clashes.
+    was taken; stops at ``target``. A null ``once`` key never clashes; a null quota value is a value. ``order`` must leave no ties.
 
-    Each choice depends on those before, so it runs in one task over few rows: of each combination of
-    quota values and ``once`` key the first, and of each combination of quota values the first
-    min(quotas) + target. No row beyond can be chosen: those before it fill a quota first, and at most
-    ``target`` of them can fall to a ``once`` key.
+    Each choice depends on those before. The first ``block`` rows in order are fetched (a top-n: each task sends no more) and
+    chosen from; what they filled is excluded by a filter, and the next rows are fetched, until the target is met or
+    nothing is left. The first row fetched can always be taken, so there are at most ``target`` fetches, mostly one or two.
+    The jobs run when the operator is called; the result has ``target`` rows at most.
     """
     columns = [F.col(c).desc_nulls_last() if down else F.col(c).asc_nulls_last() for c, down in order]
-    rows = df
-    if once:
-        w = Window.partitionBy(*quotas, once).orderBy(*columns)
-        rows = rows.withColumn("__rn", F.row_number().over(w)).where((F.col("__rn") == 1) | F.col(once).isNull()).drop("__rn")
-    w = Window.partitionBy(*quotas).orderBy(*columns)
-    rows = rows.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= min(quotas.values()) + (target if once else 0)).drop("__rn")
-    names = rows.columns
-
-    def run(batch: pd.DataFrame) -> pd.DataFrame:
-        batch = batch.sort_values([c for c, _ in order], ascending=[not down for _, down in order], kind="stable", na_position="last")
-        used: dict[tuple[str, object], int] = {}
-        seen: set[object] = set()
-        once_keys = batch[once].tolist() if once else [None] * len(batch)
-        taken = []
-        for i, (row, key) in enumerate(zip(batch[list(quotas)].itertuples(index=False), once_keys, strict=True)):
-            keys = list(zip(quotas, row, strict=True))
-            if key not in seen and all(used.get(k, 0) < quotas[k[0]] for k in keys):
-                taken.append(i)
-                if key is not None and key == key:
-                    seen.add(key)
-                for k in keys:
-                    used[k] = used.get(k, 0) + 1
-                if len(taken) == target:
-                    break
-        return batch.iloc[taken][names]
-
-    return rows.groupBy(F.lit(1).alias("__all")).applyInPandas(run, rows.schema)
+    used: dict[tuple[str, object], int] = {}
+    seen: set[object] = set()
+    taken: list[tuple] = []
+    rest = df
+    while len(taken) < target:
+        rows = rest.orderBy(*columns).limit(block).collect()
+        for row in rows:
+            keys = [(q, row[q]) for q in quotas]
+            key = row[once] if once else None
+            if key in seen or any(used.get(k, 0) >= quotas[k[0]] for k in keys):
+                continue
+            taken.append(tuple(row))
+            if key is not None:
+                seen.add(key)
+            for k in keys:
+                used[k] = used.get(k, 0) + 1
+            if len(taken) == target:
+                break
+        if len(rows) < block or len(taken) == target:
+            break
+        open_rows = F.lit(True)
+        for q, n in quotas.items():
+            full = [v for (name, v), count in used.items() if name == q and count >= n]
+            open_rows = open_rows & ~(F.coalesce(F.col(q).isin([v for v in full if v is not None]), F.lit(False)) | (F.col(q).isNull() if None in full else F.lit(False)))
+        if once:
+            open_rows = open_rows & ~F.coalesce(F.col(once).isin(list(seen)), F.lit(False))
+        last = rows[-1]
+        behind = F.lit(False)
+        for c, down in reversed(order):
+            value = F.lit(last[c])
+            after = (F.col(c) < value if down else F.col(c) > value) | F.col(c).isNull() if last[c] is not None else F.lit(False)
+            behind = F.coalesce(after, F.lit(False)) | (F.col(c).eqNullSafe(value) & behind)
+        rest = df.where(open_rows & behind)
+    return df.sparkSession.createDataFrame(taken, df.schema)

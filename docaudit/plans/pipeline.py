@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docaudit import dictionaries as D
 from docaudit.functions import numbers as N
 from docaudit.functions import text as X
 from docaudit.operators import classify, scoring
-from docaudit.session import spread
 
 #: Weights of the modules of a candidate report; they sum to 100 (fixed values).
 WEIGHTS = {"structure": 20.0, "sources": 20.0, "numbers": 20.0, "scenario_risk": 25.0, "delivery": 15.0}
@@ -18,7 +17,7 @@ THRESHOLDS = {"overall": 55.0, "structure": 0.3, "delivery": 0.5}
 
 def module_scores(reports: DataFrame, key: str, text: str) -> DataFrame:
     """``key`` and a score per module of each report, each in one pass over its text."""
-    base = spread(reports.select(F.col(key), F.col(text).alias("__text"))).select(key, "__text", X.collapse_spaces(F.lower(X.text_or_empty("__text"))).alias("__normal"))
+    base = reports.select(F.col(key), F.col(text).alias("__text")).select(key, "__text", X.collapse_spaces(F.lower(X.text_or_empty("__text"))).alias("__normal"))
     n = F.col("__normal")
     length = F.length("__normal")
     digits = F.regexp_count(n, F.lit(r"[0-9]+(?:[.,][0-9]+)?\s?(?:%|percent|billion|million|个|亿|bps|basis)"))
@@ -67,7 +66,3 @@ def evaluate_cases(cases: DataFrame, reports: DataFrame, judgements: DataFrame |
         long = scoring.with_judgements(long, judgements, key, {"facts": 0.72, "structure": 0.78}, 0.65)
     totals = scoring.total_scores(long, key, weights)
     return totals.select(key, "overall", scoring.grade(F.col("overall")).alias("grade"), "dimensions")
-
-
-def summary_cell(value: Column) -> Column:
-    return F.coalesce(value.cast("string"), F.lit(""))

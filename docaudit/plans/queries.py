@@ -674,7 +674,7 @@ def set_requirements(spark, d):
 
 @query("SELECT extract_id, CASE WHEN rn>1 THEN substring(sample_id,1,90-length('_'||rn))||'_'||rn ELSE substring(sample_id,1,90) END AS unique_id FROM (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY extract_id) AS rn FROM extracted_documents)")
 def uniquify_ids(spark, d):
-    return W.uniquify(table(spark, d, "extracted_documents").select("extract_id", "sample_id"), "sample_id", [F.col("extract_id")]).select("extract_id", "unique_id")
+    return W.uniquify(table(spark, d, "extracted_documents").select("extract_id", "sample_id"), "sample_id", [F.col("extract_id")], by_sort=True).select("extract_id", "unique_id")
 
 
 @query(
@@ -740,7 +740,7 @@ def diverse_charts(spark, d):
 @query("SELECT chart_row_id, row_number() OVER (PARTITION BY report_id, page ORDER BY chart_row_id) AS place, count(*) OVER (PARTITION BY report_id, page) AS on_page FROM chart_candidates")
 def object_places(spark, d):
     rows = table(spark, d, "chart_candidates").select("chart_row_id", "report_id", "page")
-    return W.object_places(rows, ["report_id", "page"], [F.col("chart_row_id")]).select("chart_row_id", "place", "on_page")
+    return W.object_places(rows, ["report_id", "page"], [F.col("chart_row_id")], by_sort=True).select("chart_row_id", "place", "on_page")
 
 
 @query(
@@ -788,7 +788,7 @@ def repeated_hashes(spark, d):
 @query("SELECT chart_row_id, rank, rank<=5 AS selected FROM (SELECT chart_row_id, row_number() OVER (PARTITION BY report_id ORDER BY candidate_score DESC NULLS LAST, chart_row_id) AS rank FROM chart_candidates)")
 def topk_overflow(spark, d):
     rows = table(spark, d, "chart_candidates").select("chart_row_id", "report_id", "candidate_score")
-    return W.top_with_overflow(rows, ["report_id"], [F.desc_nulls_last("candidate_score"), F.col("chart_row_id")], 5).select("chart_row_id", "rank", "selected")
+    return W.top_with_overflow(rows, ["report_id"], [F.desc_nulls_last("candidate_score"), F.col("chart_row_id")], 5, by_sort=True).select("chart_row_id", "rank", "selected")
 
 
 _RANK = "CASE severity WHEN 'blocker' THEN 0 WHEN 'high' THEN 1 WHEN 'medium' THEN 2 WHEN 'low' THEN 3 ELSE 9 END"

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import sys
 import tempfile
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.utils import is_remote
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -51,16 +54,17 @@ def ship(spark: SparkSession) -> None:
 def shared_checkpoint(df: DataFrame, eager: bool = True) -> DataFrame:
     """Cut the lineage of ``df`` in the folder that all executors share.
 
-    The folder is the one in ``spark.checkpoint.dir``; only where that is unset,
-    as in local tests, a temporary folder takes its place.
+    The folder is the one in ``spark.checkpoint.dir``. Only where that is unset and all runs in this one
+    process (``local[n]``), as in tests, a temporary folder takes its place, removed at the end.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not context.master.startswith("local"):
+            if context.master != "local" and not context.master.startswith("local["):
                 raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="docaudit-checkpoint-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
         context.setCheckpointDir(folder)
     return df.checkpoint(eager)
 
@@ -68,8 +72,11 @@ def shared_checkpoint(df: DataFrame, eager: bool = True) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """``df`` over all cores, if it is read in fewer parts than there are cores: a small input for costly work per row.
 
+    For frames that are read, filtered and projected only: the parts of others are known when they have run.
     Inputs of more parts, so all large ones, stay where they are.
     """
+    if is_remote():  # a client does not see the parts
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
