@@ -85,3 +85,79 @@ GRADES = ((90, "Gold"), (80, "Silver"), (70, "Bronze"))
 LOWEST_GRADE = "Reject"
 #: Signs of text decoded with the wrong table.
 MOJIBAKE_MARKERS = ["Ã", "â€", "Â", "锟斤拷", "�"]
+
+# --- terms of the scorecards: fixed values, as they must be for results to agree ---
+
+THESIS_TERMS = ["we believe", "we expect", "thesis", "catalyst", "implication", "recommend", "position", "认为", "预计", "核心观点", "催化", "影响", "配置", "建议"]
+MECHANISM_TERMS = ["because", "driven by", "therefore", "leads to", "implication", "由于", "驱动", "因此", "传导", "影响"]
+VIEW_TERMS = ["we believe", "we expect", "assumption", "假设", "认为", "预计", "测算"]
+CAUTION_TERMS = ["may", "could", "risk", "uncertain", "assumption", "可能", "风险", "不确定", "假设"]
+REDLINE_PATTERNS = [r"\bguaranteed return\b", r"\brisk[- ]?free\b", r"\bmust buy\b", r"\bsure profit\b", "必涨", "稳赚", "无风险", "保证收益", "保本保收益"]
+REDLINE_HARD_TERMS = ["guaranteed return", "must buy", "sure profit", "必涨", "稳赚", "保证收益", "保本保收益"]
+REDLINE_NEGATIONS = (
+    ["not risk-free", "not risk free", "not guaranteed", "no guarantee", "does not guarantee", "cannot guarantee"]
+    + "不保证 不能保证 并非无风险 不是无风险 并不无风险 不代表无风险 不构成 风险自担 入市有风险".split()
+)
+CHART_SIGNAL_GROUPS = {"name": ["figure", "chart", "table", "图", "表"], "source": ["source", "资料来源", "数据来源"], "unit": ["%", "bps", "unit", "单位", "$", "bn"]}
+CHART_WORDS = ["figure", "chart", "table", "exhibit", "source", "图", "表", "资料来源", "数据来源"]
+CHART_TOPICS = ["rate", "yield", "gdp", "inflation", "debt", "allocation", "portfolio", "risk", "market", "利率", "收益率", "通胀", "债", "配置", "风险"]
+CHART_FINANCE_TERMS = ["rate", "yield", "gdp", "inflation", "earnings", "valuation", "allocation", "portfolio", "growth", "risk", "利率", "收益率", "通胀", "估值", "配置", "增长", "风险"]
+CHART_EXPLANATIONS = ["shows", "indicates", "suggests", "driven", "trend", "increase", "decline", "显示", "表明", "趋势", "上升", "下降", "反映"]
+CANDIDATE_SECTIONS = {
+    "executive_summary": ["summary", "executive", "key takeaways", "核心观点", "摘要", "要点"],
+    "market_context": ["market", "macro", "industry", "policy", "市场", "宏观", "行业", "政策"],
+    "evidence": ["data", "evidence", "source", "chart", "analysis", "forecast", "estimate", "数据", "证据", "来源", "图表", "分析", "预测", "测算"],
+    "strategy": ["strategy", "thesis", "allocation", "implication", "positioning", "preference", "investors", "策略", "逻辑", "配置", "影响", "投资者", "建议"],
+    "scenario_risk": ["scenario", "risk", "sensitivity", "uncertainty", "情景", "风险", "敏感性", "不确定"],
+    "disclaimer": ["disclaimer", "important information", "risk disclosure", "免责声明", "风险提示"],
+}
+CLAIM_TERMS = ["we expect", "we believe", "forecast", "estimate", "may", "could", "预计", "认为", "测算", "预测", "可能", "有望"]
+NUMBER_SOURCE = r"(?i)source|according to|based on|来源|资料|数据"
+EXPLICIT_UNIT = r"(?i)[%$€£¥元亿万]|bps|bp|bn|mn|trn|pct|trillion|billion|million|thousand|years?|months?|quarters?"
+BOILERPLATE_TERMS = [
+    "important information", "for informational purposes", "does not constitute", "not constitute", "not investment advice", "no representation", "no warranty", "past performance", "future results",
+    "strictly incidental", "covered by such sanctions", "appropriate investment strategies depend", "免责声明", "不构成投资建议", "不作为投资建议", "过往业绩", "风险揭示书",
+]
+REASONING_SIGNALS = {
+    "thesis": [
+        "we believe", "we expect", "we think", "we see", "we view", "we favor", "we prefer", "we remain", "is tilting", "are tilting", "our target", "target for", "our view", "our outlook", "our base case",
+        "our conviction", "thesis", "stands out", "well placed", "we are overweight", "we are underweight", "we are neutral", "核心观点", "认为", "预计", "判断",
+    ],
+    "mechanism": [
+        "because", "driven by", "supported by", "underpinned by", "benefit from", "benefiting from", "reflects", "resulting in", "as a result", "due to", "reason for", "in other words", "suggests that", "means that", "requires",
+        "relies on", "reliant on", "is linked to", "creates", "makes it", "fueled by", "therefore", "leads to", "leading to", "which would", "would reduce", "would increase", "could reduce", "could increase", "helps", "allowing",
+        "enabling", "implies", "catalyst", "transmission", "mechanism", "由于", "驱动", "因此", "传导", "催化", "机制", "影响",
+    ],
+    "implication": [
+        "implication", "allocation", "position", "positioning", "recommend", "watch", "target", "opportunity set", "tilting portfolios", "tilt portfolios", "portfolio toward", "for investors", "overweight", "underweight", "we favor",
+        "we prefer", "well placed", "stands out", "investors need", "investors should", "配置", "建议", "关注", "影响", "机会", "超配", "低配",
+    ],
+    "risk": ["risk", "downside", "uncertainty", "sensitivity", "vulnerable", "headwind", "风险", "下行", "不确定", "敏感"],
+}
+#: How many sentences of each signal are enough, and what the signals weigh, by archetype; any other is as the last.
+SIGNAL_TARGETS = {
+    "brief_commentary": {"thesis": 3, "mechanism": 7, "implication": 4, "risk": 4},
+    "chartbook": {"thesis": 3, "mechanism": 7, "implication": 5, "risk": 5},
+    "weekly_review": {"thesis": 3, "mechanism": 8, "implication": 5, "risk": 5},
+    "any": {"thesis": 4, "mechanism": 10, "implication": 4, "risk": 4},
+}
+SIGNAL_WEIGHTS = {
+    "brief_commentary": {"thesis": 0.34, "mechanism": 0.22, "implication": 0.30, "risk": 0.14},
+    "chartbook": {"thesis": 0.34, "mechanism": 0.22, "implication": 0.30, "risk": 0.14},
+    "weekly_review": {"thesis": 0.30, "mechanism": 0.26, "implication": 0.28, "risk": 0.16},
+    "any": {"thesis": 0.27, "mechanism": 0.32, "implication": 0.24, "risk": 0.17},
+}
+ARCHETYPE_TERMS = {
+    "chartbook": ["6 张图", "chartbook", "in charts", "图看", "图表专题"],
+    "weekly_review": ["weekly", "周报", "周观点", "双周报", "market review", "market weekly", "定期报告"],
+    "brief_commentary": ["点评", "commentary", "快评", "brief", "首席观点"],
+    "deep_dive": ["深度", "专题", "白皮书", "deep dive"],
+}
+LINK_EXCLUDED = (
+    r"(?i)/bio(?:\.html)?/|/footer/|global entities|worldwide entities|/investment-management/?$|privacy|cookie|terms|disclaimer|accessibility|contact|careers|"
+    r"linkedin|facebook|instagram|youtube|twitter|x\.com"
+)
+CHART_PART_WEIGHTS = {"spec_completeness": 0.18, "data_faithfulness": 0.28, "chart_text_alignment": 0.24, "visual_clarity": 0.18, "financial_appropriateness": 0.12}
+CHART_DIMENSION_WEIGHTS = {"inventory": 0.15, "spec_completeness": 0.15, "data_faithfulness": 0.25, "chart_text_alignment": 0.20, "visual_clarity": 0.15, "financial_appropriateness": 0.10}
+REFERENCE_WEIGHTS = {"structure": 12.0, "sources": 18.0, "facts": 18.0, "strategy_reasoning": 16.0, "scenario_risk": 10.0, "charts": 14.0, "writing_layout": 7.0, "compliance": 5.0}
+CANDIDATE_WEIGHTS = {"delivery": 10.0, "structure": 14.0, "source_traceability": 14.0, "claim_numeric_discipline": 16.0, "strategy_reasoning": 18.0, "scenario_risk": 10.0, "visual_qa": 13.0, "compliance": 5.0}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from docaudit.operators import units
+from docaudit.plans import cards  # noqa: F401  (registers its queries)
 from docaudit.plans.queries import QUERIES, SQL, flagship
 
 __all__ = ["flagship", "oracle_sql", "queries"]
