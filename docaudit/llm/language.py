@@ -106,7 +106,7 @@ class LanguageModel:
 
     def reset(self) -> None:
         self.known: dict[str, int] = {}
-        self.vectors = np.zeros((1 << 12, BITS), np.float32)
+        self.vectors = np.zeros((1 << 12, BITS + len(LANGUAGES) + 3), np.float32)
 
     def _add(self, unit: str) -> int:
         k = len(self.known)
@@ -115,12 +115,20 @@ class LanguageModel:
         grams = self.weights[unit_features(unit)]
         wide = ord(unit[0]) >= 0x3000
         trust = 0.6 if wide else 1.0 if zlib.crc32(unit.encode()) in self.words else UNKNOWN_WORD
-        self.vectors[k] = np.clip(grams.sum(0) / (2 if wide else 4), -2.5, 2.5) * trust
+        self.vectors[k, :BITS] = np.clip(grams.sum(0) / (2 if wide else 4), -2.5, 2.5) * trust
+        latin = ord(unit[0]) < 0x370
+        folded = _folded(unit) if latin and self.vocabulary else 0
+        known = [latin and folded in own for own in self.vocabulary or [()] * len(LANGUAGES)]
+        self.vectors[k, BITS:] = [*known, latin, len(unit) if _foreign(unit) else 0, len(unit)]
         self.known[unit] = k
         return k
 
     def sums(self, lines: list[list[str]]) -> np.ndarray:
         """The bit scores of lines given as units."""
+        return self.measures(lines)[:, :BITS]
+
+    def measures(self, lines: list[list[str]]) -> np.ndarray:
+        """Of lines given as units the bit scores, the words known in each language, those in Latin letters, foreign letters, all letters."""
         if len(self.known) > UNIT_TABLE:
             self.reset()
         known = self.known
@@ -131,7 +139,7 @@ class LanguageModel:
                 if k is None:
                     k = known.get(units[i])
                     found[i] = self._add(units[i]) if k is None else k
-        out = np.zeros((len(lines), BITS))
+        out = np.zeros((len(lines), self.vectors.shape[1]))
         sizes = np.array([len(line) for line in lines], np.int64)
         some = np.flatnonzero(sizes)
         if len(some):
@@ -145,15 +153,17 @@ class LanguageModel:
         own = self.vocabulary[language] if self.vocabulary else frozenset()
         return sum(_folded(u) in own for u in latin) / max(1, len(latin)), len(latin)
 
-    def is_strange(self, units: list[str], language: int) -> bool:
-        """Whether running words decoded as a language are of none here: a script of its own, or far fewer known words than usual."""
-        foreign = sum(map(len, filter(_foreign, units)))
-        if foreign >= FEW_LETTERS and foreign * 2 > sum(map(len, units)):
-            return True
-        if not self.vocabulary or LANGUAGES[language] in ("zh", "ja"):
-            return False
-        share, n = self.known_share(units, language)
-        return n >= FEW_WORDS and share < STRANGE * self.usual[language]
+    def strange(self, measures: np.ndarray, tops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether the words of each line, decoded as a language, are of none here: a script of its own, or far fewer known words
+        than usual; and whether they are too few to say."""
+        latin, foreign, letters = measures[:, -3], measures[:, -2], measures[:, -1]
+        few = latin < FEW_WORDS
+        out = (foreign >= FEW_LETTERS) & (foreign * 2 > letters)
+        if self.vocabulary:
+            share = measures[np.arange(len(tops)), BITS + tops] / np.maximum(latin, 1)
+            spaced = np.array([x not in ("zh", "ja") for x in LANGUAGES])
+            out |= spaced[tops] & ~few & (share < STRANGE * np.array(self.usual)[tops])
+        return out, few
 
     def probability(self, scores: np.ndarray) -> np.ndarray:
         """How likely each language is, given what the losses were worth on texts the classifiers had not seen."""
@@ -241,6 +251,7 @@ def _fitted(texts: list[list[str]], labels: np.ndarray, rounds: int) -> tuple[La
         belongs = (by_unit >= 3) & (often * 5 >= often.max(1, keepdims=True))
         model.vocabulary = [frozenset(folded[u] for u, k in table.items() if latin[k] and belongs[k, c]) for c in range(len(LANGUAGES))]
         shares = [[model.known_share(texts[k], c)[0] for k in np.flatnonzero(keep & (current == c)).tolist()[:200]] for c in range(len(LANGUAGES))]
+        model.reset()  # what is kept of a word tells which languages have it
         model.usual = [float(np.median(x)) if x else 0.0 for x in shares]
     return model, current
 
@@ -308,31 +319,31 @@ def text_segments(texts: list[str | None], model: LanguageModel, switch: float =
                 mine, rows = [mine[k] for k in kept], [rows[k] for k in kept]
             lines.extend(rows)
         numbers.append(mine)
-    sums = model.sums(lines)
+    measures = model.measures(lines)
+    sums = measures[:, :BITS]
     scores = model.decode(sums)
     tops = scores.argmax(1) if len(lines) else np.zeros(0, np.int64)
+    all_strange, all_few = model.strange(measures, tops)
     out = []
     at = 0
     for mine in numbers:
         n = len(mine)
         segments: list[tuple[int, str, float, bool, int]] = []
         if n:
-            strange = np.array([model.is_strange(lines[at + k], tops[at + k]) for k in range(n)])
+            strange = all_strange[at : at + n]
             if (tops[at : at + n] == tops[at]).all() and (strange == strange[0]).all():
                 path = np.full(n, len(LANGUAGES) if strange[0] else tops[at])
             else:  # one more column: a line is strange, is not, or has too few words to say
-                top = scores[at : at + n].max(1)
-                few = np.array([sum(ord(u[0]) < 0x370 for u in lines[at + k]) < FEW_WORDS for k in range(n)])
+                top, few = scores[at : at + n].max(1), all_few[at : at + n]
                 path = _cheapest(np.column_stack([scores[at : at + n], np.where(strange, top + 2 * switch, np.where(few, top - 1.5 * switch, top - 2 * switch))]), switch)
             cuts = [0, *(np.flatnonzero(np.diff(path)) + 1).tolist(), n]
             for a, b in zip(cuts, cuts[1:], strict=False):
                 total = model.decode(sums[at + a : at + b].sum(0, keepdims=True))[0]
-                units = [u for line in lines[at + a : at + b] for u in line]
                 if path[a] < len(LANGUAGES):
                     confidence = float(model.probability(total)[path[a]])
-                    segments.append((mine[a], LANGUAGES[path[a]], confidence, confidence < 0.8, len(units)))
+                    segments.append((mine[a], LANGUAGES[path[a]], confidence, confidence < 0.8, sum(map(len, lines[at + a : at + b]))))
                 else:
-                    nearest = int(total.argmax())
+                    nearest, units = int(total.argmax()), [u for line in lines[at + a : at + b] for u in line]
                     segments.append((mine[a], OTHER, 1 - float(model.probability(total)[nearest]) * model.known_share(units, nearest)[0], True, len(units)))
         out.append(segments)
         at += n
