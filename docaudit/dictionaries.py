@@ -161,3 +161,29 @@ CHART_PART_WEIGHTS = {"spec_completeness": 0.18, "data_faithfulness": 0.28, "cha
 CHART_DIMENSION_WEIGHTS = {"inventory": 0.15, "spec_completeness": 0.15, "data_faithfulness": 0.25, "chart_text_alignment": 0.20, "visual_clarity": 0.15, "financial_appropriateness": 0.10}
 REFERENCE_WEIGHTS = {"structure": 12.0, "sources": 18.0, "facts": 18.0, "strategy_reasoning": 16.0, "scenario_risk": 10.0, "charts": 14.0, "writing_layout": 7.0, "compliance": 5.0}
 CANDIDATE_WEIGHTS = {"delivery": 10.0, "structure": 14.0, "source_traceability": 14.0, "claim_numeric_discipline": 16.0, "strategy_reasoning": 18.0, "scenario_risk": 10.0, "visual_qa": 13.0, "compliance": 5.0}
+
+# --- assessment of web pages, report pages and visuals: fixed values ---
+
+ARTICLE_LIMITS = {"zh": {"text": 1800, "ideographs": 900, "long_paragraphs": 5}, "en": {"text": 3000, "ideographs": 0, "long_paragraphs": 6}}
+GENERIC_TITLES = ["insights", "research", "publications", "markets & insights", "markets and insights", "investment insights", "perspectives", "ideas", "the markets", "global market outlook"]
+REJECTED_PAGE_TERMS = ["podcast", "video", "webcast", "/people/", "/person/", "/about-us/", "investment-professionals", "professionals/", "events"]
+STRATEGY_TERMS = (
+    ["outlook", "strategy", "allocation", "portfolio", "market", "macro", "risk", "scenario", "forecast", "investment", "equity", "fixed income", "credit", "inflation", "growth", "policy", "earnings", "valuation"]
+    + "配置 策略 市场 宏观 风险 情景 投资 权益 债券 通胀 增长 政策".split()
+)
+NAVIGATION_TERMS = ["home", "menu", "subscribe", "sign in", "contact us", "privacy", "cookie", "all rights reserved", "首页", "导航", "登录", "注册", "联系我们"]
+INVENTORY_TERMS = ["outlook", "strategy", "market", "macro", "portfolio", "allocation", "equity", "fixed income", "credit", "rates", "investment", "economic"] + "展望 策略 市场 宏观 配置 权益 固收 利率 信用 投资".split()
+LISTING_TERMS = ["contact us", "latest insights", "all insights", "events", "podcasts", "investment stewardship", "interactive charts", "research library", "联系我们", "最新观点", "研究报告列表", "报告列表"]
+LIKENESS_NUMBERS = r"(?i)\b20\d{2}\b|[%$]|bps|bp|trillion|billion|million|万亿|亿元|基点"
+UNIT_SIGNAL = r"(?i)%|bps|bp|percent|percentage|usd|eur|rmb|cny|\$|\bbn\b|\bmn\b|\btrn\b|\btimes\b|单位|亿元|亿美元|万亿|百分点|个基点"
+CHART_SIGNAL = r"(?i)figures in focus|figure|fig\.|exhibit|chart|table|图表|圖表|图\s*\d+|圖\s*\d+|表\s*\d+"
+SOURCE_SIGNAL = r"(?i)\bsources?:|资料来源|資料來源|数据来源|數據來源|来源"
+CONTENTS_SIGNAL = r"(?i)\btable of contents\b|\bcontents\b|目录|目錄|图表目录|圖表目錄|list of figures|list of tables"
+LEGAL_SIGNAL = r"(?i)important information|disclosures?|免责声明|风险提示|法律声明|copyright|all rights reserved"
+CHART_TITLE = r"(?i)\b(?:figure|fig\.|exhibit|chart|table)\s*[\dA-ZIVX.-]*|(?:图表|圖表|图|圖|表)\s*[\d一二三四五六七八九十百]+"
+RUNNING_FOOTER = r"(?i)^\d+$|important information|disclosures"
+FACT_COMPLIANCE_TERMS = ["solicitation", "past performance", "informational purposes", "disclaimer"]
+FACT_METADATA_TERMS = ["disclaimer", "for informational purposes", "not a solicitation", "past performance", "does not guarantee future", "series", "part of", "midyear outlook", "source report", "publication", "author", "copyright"]
+FACT_STRATEGY_TERMS = ["recommend", "overweight", "underweight", "allocation", "配置", "建议", "看好", "低配", "高配"]
+CONTENTS_TITLES = ["table of contents", "contents", "图表目录", "目录"]
+LEGAL_TITLES = ["disclaimer", "important information", "risk disclosure", "免责声明", "重要声明", "风险提示", "法律声明"]
