@@ -1,16 +1,18 @@
 """Columns over text: normal forms, tokens, sentences, terms, cuts and headings.
 
-All are built from Spark expressions, so they stay in generated code; only Unicode compatibility
-forms need an Arrow UDF. Null text counts as empty unless stated otherwise.
+All are built from Spark expressions and stay in the JVM (those over arrays are interpreted, not
+generated); only Unicode compatibility forms and places of matches need an Arrow UDF. Null text
+counts as empty unless stated otherwise.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -218,21 +220,59 @@ def mojibake_ratio(text: Column | str, markers: list[str] = D.MOJIBAKE_MARKERS)
     return F.when(F.length(t) > 0, occurrences(t, markers) / F.length(t)).otherwise(F.lit(0.0))
 
 
+def _repaired(t: str) -> str:
+    for table in ("cp1252", "latin-1"):
+        try:
+            fixed = t.encode(table).decode("utf-8")
+        except (UnicodeEncodeError, UnicodeDecodeError):
+            continue
+        if fixed != t:
+            return fixed
+    return t
+
+
 @F.pandas_udf(T.StringType())
 def repair_mojibake(texts: pd.Series) -> pd.Series:
     """UTF-8 read as Windows-1252 or Latin-1 put right where that is possible without loss; else unchanged."""
+    return texts.map(_repaired, na_action="ignore")
+
 
-    def one(t: str) -> str:
-        for table in ("cp1252", "latin-1"):
-            try:
-                fixed = t.encode(table).decode("utf-8")
-            except (UnicodeEncodeError, UnicodeDecodeError):
-                continue
-            if fixed != t:
-                return fixed
-        return t
+def repair_nested(df: DataFrame) -> DataFrame:
+    """``df`` with all its strings repaired, also those within arrays, structs and values of maps.
+
+    A column that holds strings deeper down goes through JSON and back, which keeps its type; names of fields and keys
+    of maps stay as they are. Columns without strings are not touched.
+    """
 
-    return texts.map(one, na_action="ignore")
+    def holds_text(kind: T.DataType) -> bool:
+        if isinstance(kind, T.StructType):
+            return any(holds_text(f.dataType) for f in kind.fields)
+        inner = kind.elementType if isinstance(kind, T.ArrayType) else kind.valueType if isinstance(kind, T.MapType) else kind
+        return isinstance(kind, T.StringType) or inner is not kind and holds_text(inner)
+
+    def nested(kind: T.DataType):
+        @F.pandas_udf(T.StringType())
+        def run(values: pd.Series) -> pd.Series:
+            def walk(v):
+                if isinstance(v, dict):
+                    return {k: walk(x) for k, x in v.items()}
+                if isinstance(v, list):
+                    return [walk(x) for x in v]
+                return _repaired(v) if isinstance(v, str) else v
+
+            return values.map(lambda t: json.dumps(walk(json.loads(t)), ensure_ascii=False), na_action="ignore")
+
+        return run
+
+    out = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.StringType):
+            c = repair_mojibake(c)
+        elif holds_text(f.dataType):
+            c = F.from_json(nested(f.dataType)(F.to_json(c, {"ignoreNullFields": "false"})), f.dataType)
+        out.append(c.alias(f.name))
+    return df.select(*out)
 
 
 def estimate_tokens(text: Column | str) -> Column:
@@ -248,7 +288,7 @@ def blob(*parts: Column | str) -> Column:
 def chunk_paragraphs(text: Column | str, size: int = 900, most: int | None = None) -> Column:
     """Paragraphs packed in order into chunks of up to ``size`` characters; a longer paragraph is a chunk of its own.
 
-    All of them, or the first ``most`` (80 in the reference). A text without paragraphs is cut every ``size`` characters.
+    All of them, or the first ``most`` (80 in the reference). Null, empty and blank texts have none.
     """
     t = text_or_empty(text)
     paragraphs = F.filter(F.transform(F.split(t, r"\n[\t-\r\x{85}\p{Z}]*\n+"), lambda p: F.trim(p)), lambda p: p != "")

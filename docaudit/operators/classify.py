@@ -21,6 +21,22 @@ def zh_or_en(text: Column, least: int = 20, share: float = 0.08) -> Column:
     return F.when((cjk_count(text) >= least) & (cjk_count(text) >= latin * share), "zh").otherwise("en")
 
 
+def declared_zh_or_en(declared: Column, text: Column, least: int = 80, share: float = 0.2, prefix: int | None = None) -> Column:
+    """The language a page declares; without one ``zh`` for more ideographs than ``least`` and than ``share`` of the Latin letters.
+
+    The whole text counts, or its first ``prefix`` characters (12,000 in the reference).
+    """
+    t = X.text_or_empty(text) if prefix is None else F.substring(X.text_or_empty(text), 1, prefix)
+    ideographs, latin = F.regexp_count(t, F.lit(r"[\x{3400}-\x{9fff}]")), F.regexp_count(t, F.lit("[A-Za-z]"))
+    low = F.lower(declared)
+    return first_rule([(low.startswith("zh"), "zh"), (low.startswith("en"), "en"), (ideographs > F.greatest(F.lit(least), latin * share), "zh")], "en")
+
+
+def source_zh_or_en(country: Column, text: Column, chinese: tuple[str, ...] = ("cn", "china", "中国"), more_than: int = 20) -> Column:
+    """``zh`` for sources of a Chinese country or with more than a few ideographs, else ``en``."""
+    return first_rule([(F.lower(F.trim(country)).isin(*chinese), "zh"), (cjk_count(text) > more_than, "zh")], "en")
+
+
 def parse_quality(text: Column, failed: Column | None = None, most_mojibake: float = 0.01) -> Column:
     """From the length of the extracted text; poor if it looks wrongly decoded, failed without text but with a warning."""
     n = F.length(X.text_or_empty(text))

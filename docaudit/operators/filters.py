@@ -61,9 +61,13 @@ def at_least(conditions: list[Column], n: int) -> Column:
     return holding(conditions) >= n
 
 
-def in_order(rows: DataFrame, key: str, wanted: list) -> DataFrame:
-    """The rows whose key is in a list, in the order of the list; keys not found are left out."""
+def in_order(rows: DataFrame, key: str, wanted: list, strict: bool = False) -> DataFrame:
+    """The rows whose key is in a list, in the order of the list; keys not found are left out, or with ``strict`` raise at once."""
     kind = rows.schema[key].dataType
+    if strict:
+        known = {r[0] for r in rows.where(F.col(key).isin(wanted)).select(key).distinct().collect()}  # no more than are wanted
+        if missing := [w for w in wanted if w not in known]:
+            raise KeyError(f"no rows for {missing}")
     places = F.array(*(F.lit(w).cast(kind) for w in wanted))
     at = F.array_position(places, F.col(key))
     return rows.where(at > 0).orderBy(at)

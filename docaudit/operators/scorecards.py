@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from docaudit import dictionaries as D
 from docaudit.functions import numbers as N
 from docaudit.functions import text as X
+from docaudit.functions.structures import traceable_link
 from docaudit.operators import classify, redlines
 from docaudit.operators.rules import first_rule, true
 
@@ -110,15 +111,7 @@ def section_coverage(required: Column, normal: Column, tokens: Column, heading_t
 
 def traceable(links: Column, authorities: list[str] = D.AUTHORITY_TERMS) -> Column:
     """The links (``text, href``) that lead to a source: no anchors, scripts, legal or social pages; a bare host only if it has authority."""
-    def leads(link: Column) -> Column:
-        href, label = F.trim(F.coalesce(link["href"], F.lit(""))), F.trim(F.coalesce(link["text"], F.lit("")))
-        whole = F.lower(F.concat_ws(" ", label, href))
-        low = F.lower(href)
-        known = _any(whole, authorities)
-        bare = F.trim(F.regexp_replace(low, r"^https?://[^/]+/?", "")).isin("", "/")
-        none = (href == "") | low.rlike(r"^(?:#|javascript:|mailto:|tel:)") | whole.rlike(D.LINK_EXCLUDED)
-        return ~none & F.when(low.startswith("file:"), _any(F.lower(label), authorities)).when(low.rlike("^https?://"), ~bare | known).otherwise(known)
-
+    leads = lambda link: traceable_link(link["href"], link["text"], authorities, D.LINK_EXCLUDED)
     return F.filter(F.coalesce(links, F.array().cast("array<struct<text:string,href:string>>")), leads)
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from docaudit.operators import units
-from docaudit.plans import assessments, cards  # noqa: F401  (they register their queries)
+from docaudit.plans import assessments, cards, shapes  # noqa: F401  (they register their queries)
 from docaudit.plans.queries import QUERIES, SQL, flagship
 
 __all__ = ["flagship", "oracle_sql", "queries"]
