@@ -76,18 +76,13 @@ def cap_per_group(df: DataFrame, group: str, key: str, order: list[Column], most
 def diverse_top(df: DataFrame, by: list[str], group: str, order: list[Column], n: int) -> DataFrame:
     """The best row of each group value first, then the others by order: ``n`` rows for each ``by``, with their place.
 
-    ``order`` must leave no ties. The best of each group value is an aggregate, joined to tell the others; of each
-    ``by`` every task's part is cut to ``n`` rows before the shuffle, so a hot one is in no task.
+    Of each group value no more than its first ``n`` rows can be chosen: each task's part is cut to them before the
+    shuffle, and so are the candidates of each ``by``, so a hot one is in no task.
     """
-    keys = [*by, group]
-    rank = F.struct(*(o.alias(f"o{i}") for i, o in enumerate(order)))
-    best = df.groupBy(*(F.col(k).alias(f"__g{i}") for i, k in enumerate(keys))).agg(F.min(rank).alias("__best"))
-    same = F.lit(True)
-    for i, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"__g{i}"))
-    told = df.withColumn("__rank", rank).join(best, same).withColumn("__later", (F.col("__rank") != F.col("__best")).cast("int"))
-    place = F.row_number().over(Window.partitionBy(*by).orderBy("__later", "__rank"))
-    return told.withColumn("place", place).where(F.col("place") <= n).select(*df.columns, "place")
+    within = F.row_number().over(Window.partitionBy(*by, group).orderBy(*order))
+    few = df.withColumn("__within", within).where(F.col("__within") <= n).withColumn("__later", (F.col("__within") > 1).cast("int"))
+    place = F.row_number().over(Window.partitionBy(*by).orderBy("__later", *order))
+    return few.withColumn("place", place).where(F.col("place") <= n).drop("__within", "__later")
 
 
 def stratified(df: DataFrame, by: list[str], score: str, tie: str, most: int) -> DataFrame:

@@ -189,6 +189,14 @@ def test_mojibake_repair(spark):
     assert texts(spark, X.repair_mojibake("t"), ["Ã¤", "plain", None, "中"]) == ["ä", "plain", None, "中"]
 
 
+def test_nested_mojibake_repair(spark):
+    df = spark.createDataFrame([("Ã¤", 3, ["Ã¶", None], {"Ã¼": "Ã¼"}, ("Ã¤", [("Ã¶", 2)])), (None, None, None, None, None)], "a string, n int, b array<string>, m map<string,string>, s struct<x:string,y:array<struct<z:string,k:int>>>")
+    got = X.repair_nested(df)
+    assert got.schema == df.schema
+    first, second = got.collect()
+    assert (first.a, first.n, first.b, first.m, first.s.x, first.s.y[0].z, first.s.y[0].k) == ("ä", 3, ["ö", None], {"Ã¼": "ü"}, "ä", "ö", 2) and all(v is None for v in second)
+
+
 def test_hostile_texts_end_in_time(spark):
     import time
 

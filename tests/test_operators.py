@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from docaudit.operators import aggregates as A
 from docaudit.operators import classify as C
 from docaudit.operators import evidence as E
+from docaudit.operators import filters as FI
 from docaudit.operators import joins as J
 from docaudit.operators import rules as R
 from docaudit.operators import scoring as S
@@ -329,3 +330,26 @@ def test_running_sums_by_sort(spark):
     a = {r.i: (r.spent_before, r.skipped) for r in W.over_budget(df, ["k"], [F.col("i")], F.col("c"), 50).collect()}
     b = {r.i: (r.spent_before, r.skipped) for r in W.over_budget(df, ["k"], [F.col("i")], F.col("c"), 50, by_sort=True).collect()}
     assert a == b and len(a) == 2000
+
+
+def test_strict_lists_and_declared_languages(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "i long, x string")
+    assert [r.x for r in FI.in_order(df, "i", [3, 1], strict=True).collect()] == ["c", "a"] and [r.x for r in FI.in_order(df, "i", [3, 9]).collect()] == ["c"]
+    with pytest.raises(KeyError):
+        FI.in_order(df, "i", [3, 9], strict=True)
+    pages = spark.createDataFrame([("zh-CN", "x"), ("en", "中" * 200), (None, "中" * 200), (None, "中" * 60), (None, None)], "lang string, t string")
+    assert [r.v for r in pages.select(C.declared_zh_or_en(F.col("lang"), F.col("t")).alias("v")).collect()] == ["zh", "en", "zh", "en", "en"]
+    assert [r.v for r in pages.select(C.source_zh_or_en(F.col("lang"), F.col("t")).alias("v")).collect()] == ["en", "zh", "zh", "zh", "en"]
+
+
+def test_quota_selection_over_several_fetches(spark):
+    rows = [(i, f"g{i % 3}" if i % 7 else None, f"h{i // 5}", i % 11 if i % 4 else None) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, g string, h string, sha int")
+    used, seen, want = {}, set(), []
+    for i, g, h, sha in sorted(rows, key=lambda r: -r[0]):
+        if len(want) < 9 and sha not in seen and used.get(("g", g), 0) < 3 and used.get(("h", h), 0) < 1:
+            want.append(i)
+            used["g", g], used["h", h] = used.get(("g", g), 0) + 1, used.get(("h", h), 0) + 1
+            seen |= {sha} - {None}
+    got = [r.id for r in W.quota_selection(df, [("id", True)], {"g": 3, "h": 1}, 9, "sha", block=4).collect()]
+    assert got == want and W.quota_selection(df.limit(0), [("id", True)], {"g": 3}, 9).count() == 0
