@@ -17,6 +17,7 @@ import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -31,7 +32,10 @@ WIDTH = 16
 HIDDEN = 24
 WEIGHTS = os.path.join(os.path.dirname(__file__), "blocks.npz")
 CJK = "\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f"
+HAS_CJK = re.compile(f"[{CJK}]")
 TOKEN = re.compile(rf"[{CJK}]|(?:(?![{CJK}])[^\W_])+|[^\w\s]")
+SPACED_TOKEN = re.compile(r"[^\W_]+|[^\w\s]")  # the same where there are no ideographs or kana
+DIGITS = re.compile(r"\d+")
 SENTENCE = re.compile(r"[.!?](?=[\"”’»)]*(?:\s+[^\W\d_a-zß-ÿ]|$))|[。！？](?=[”’」』]*)")
 MARK = re.compile(r"\s*(?:[•·▪*>–-]|\d{1,3}[.)]|\[ ?\])\s+")
 SEPARATOR = re.compile(r"\s[|·>»/–-]\s|\s{2,}|\|")
@@ -49,24 +53,33 @@ leer más|leer mas|min de lectura|seguir leyendo
 TEASER_END = re.compile("(?:" + "|".join(TEASER_ENDS.strip().split("\n")) + r")\s*$", re.I)
 
 
-def shape_path(line: str) -> str:
-    """A stand-in for the tag path of a block that comes without one: what its shape suggests."""
+def shape_path(line: str, ends: int | None = None, cjk: bool | None = None) -> str:
+    """A stand-in for the tag path of a block that comes without one: what its shape suggests.
+
+    ``ends`` are its sentence ends and ``cjk`` whether it has ideographs or kana, where they are known.
+    """
+    ends = len(SENTENCE.findall(line)) if ends is None else ends
     if MARK.match(line):
         return "ul/li"
-    if len(SEPARATOR.findall(line)) >= 1 and len(line) < 200 and not SENTENCE.search(line):
+    if not ends and len(line) < 200 and SEPARATOR.search(line):
         return "nav"
-    ends = len(SENTENCE.findall(line))
-    wide = 2 if re.search(f"[{CJK}]", line) else 1
+    wide = 2 if (HAS_CJK.search(line) if cjk is None else cjk) else 1
     if not ends:
         return "h" if len(line) * wide < 80 else "div"
     return "p" if ends > 1 or len(line) * wide > 240 else "p1"
 
 
+@lru_cache(maxsize=100_000)
+def _bucket(feature: str) -> int:
+    return zlib.crc32(feature.encode()) % BUCKETS
+
+
 def block_features(line: str, path: str | None = None) -> list[int]:
     """Hash buckets of a block: words, word pairs at its ends, the block itself if short, its shape and its path."""
-    s = re.sub(r"\d+", "0", unicodedata.normalize("NFKC", line).lower()).strip()
-    raw = TOKEN.findall(s)
-    wide = sum(len(t) == 1 and t >= "぀" for t in raw) * 2 > len(raw)
+    s = DIGITS.sub("0", (line if line.isascii() else unicodedata.normalize("NFKC", line)).lower()).strip()
+    cjk = not line.isascii() and HAS_CJK.search(line) is not None
+    raw = (TOKEN if not s.isascii() and HAS_CJK.search(s) else SPACED_TOKEN).findall(s)
+    wide = not s.isascii() and sum(map("\u3040".__le__, raw)) * 2 > len(raw)
     tokens = [a + b for a, b in zip(raw, raw[1:], strict=False)] if wide else raw
     out = set(tokens)
     if raw:
@@ -78,8 +91,8 @@ def block_features(line: str, path: str | None = None) -> list[int]:
         out.add("=" + s)
     ends = len(SENTENCE.findall(line))
     n = len(s) * (2 if wide else 1)
-    out.update((f"ends:{min(ends, 3)}", f"size:{min(12, int(np.log2(n + 1) * 1.5))}", f"last:{s[-1:] if not s[-1:].isalnum() else 'a'}", f"path:{path or shape_path(line)}", f"words:{min(len(raw), 8)}"))
-    return [zlib.crc32(t.encode()) % BUCKETS for t in out]
+    out.update((f"ends:{min(ends, 3)}", f"size:{min(12, int(np.log2(n + 1) * 1.5))}", f"last:{s[-1:] if not s[-1:].isalnum() else 'a'}", f"path:{path or shape_path(line, ends, cjk)}", f"words:{min(len(raw), 8)}"))
+    return list(map(_bucket, out))
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -109,13 +122,15 @@ class BlockLabeller:
         source = path if os.path.exists(path) else io.BytesIO(pkgutil.get_data(__package__, os.path.basename(path)))
         with np.load(source) as stored:
             self.weights = {k: stored[k].astype(np.float32) for k in stored.files}
-        self.known: dict[str, np.ndarray] = {}
+        self.known: dict[str, tuple[np.ndarray, bool]] = {}
 
-    def vector(self, line: str, path: str | None) -> np.ndarray:
+    def vector(self, line: str, path: str | None) -> tuple[np.ndarray, bool]:
+        """The mean embedding of a block, and whether it ends like a teaser; of short blocks both are kept."""
         key = line if path is None else f"{path}\x1f{line}"
         found = self.known.get(key)
         if found is None:
-            found = self.weights["embedding"][block_features(line, path)].mean(0)
+            buckets = block_features(line, path)
+            found = np.add.reduce(self.weights["embedding"][buckets], 0) / len(buckets), TEASER_END.search(line[-40:]) is not None
             if len(self.known) > LINE_TABLE:
                 self.known.clear()
             if len(line) <= 200:
@@ -134,8 +149,11 @@ class BlockLabeller:
             steps = max(len(pages[k]) for k in chosen)
             ahead = np.zeros((steps, len(chosen), WIDTH), np.float32)
             back = np.zeros_like(ahead)
+            teasers = []
             for j, k in enumerate(chosen):
-                vectors = np.stack([self.vector(line, paths[k][i] if paths else None) for i, line in enumerate(pages[k])])
+                found = [self.vector(line, paths[k][i] if paths else None) for i, line in enumerate(pages[k])]
+                vectors = np.array([v for v, _ in found])
+                teasers.append([i for i, (_, ends) in enumerate(found) if ends])
                 ahead[: len(vectors), j] = vectors
                 back[: len(vectors), j] = vectors[::-1]
             left = lstm(ahead, w["w_left"], w["u_left"], w["b_left"])
@@ -144,9 +162,7 @@ class BlockLabeller:
                 n = len(pages[k])
                 both = np.concatenate([left[:n, j], right[:n, j][::-1], ahead[:n, j]], axis=1)
                 out[k] = sigmoid(both @ w["v"] + w["c"])
-                for i, line in enumerate(pages[k]):  # an exact check: what invites to read on is a teaser, whatever stands around it
-                    if TEASER_END.search(line[-40:]):
-                        out[k][i] = 1.0
+                out[k][teasers[j]] = 1.0  # an exact check: what invites to read on is a teaser, whatever stands around it
         return out
 
 
