@@ -68,7 +68,8 @@ def readable(reports: DataFrame, text: str, compatibility: bool = True) -> DataF
 
 
 def _any(text: Column, terms: list[str]) -> Column:
-    return F.exists(F.array(*map(F.lit, terms)), lambda t: F.contains(text, t))
+    """Whether any of the terms occurs: one pattern, so that what makes the text is evaluated once, not for each term."""
+    return text.rlike("|".join(rf"\Q{t}\E" for t in terms))
 
 
 def _matching(sentences: Column, terms: list[str]) -> Column:
