@@ -8,8 +8,8 @@ found is verified by a banded edit distance.
 Before that each stored string is read once: accents, case, legal forms, departments, brackets
 and order are folded, abbreviated business words are written out, and the rest is the name. Only
 distinct strings and distinct readings are joined, never rows. The number of edits grows with the
-length of a name. Links run from the rarer reading to the better attested one, so an institution
-is a shallow tree, and its root names it.
+length of a name. A misspelling goes to the best attested name in reach; each link that is chosen
+or stated counts, so an institution is all that links join, and its best attested reading names it.
 """
 
 from __future__ import annotations
@@ -125,7 +125,7 @@ def _latin(text: str) -> tuple[str, str, bool]:
     if len(business) > 1 and business[-1] == "research" and business[-2:] != ["international", "research"]:
         business = business[:-1]  # a department
     initial = len(name) > 1 and any(len(w) == 1 for w in name)
-    return " ".join(name) if initial else in_order(name), " ".join(business), initial
+    return in_order(name), " ".join(business), initial
 
 
 def without_tail(text: str) -> str:
@@ -178,6 +178,16 @@ def _sha(*columns: Column | str) -> Column:
     return F.sha2(F.concat_ws("\x1f", *columns), 256)
 
 
+def _id(r: Column) -> Column:
+    """The id of a reading."""
+    return _sha(r["kind"], r["name"], r["business"])
+
+
+def _whole(r: Column) -> Column:
+    """Whether a reading names an institution in full: no initial for a name, and a business."""
+    return (r["kind"] == "name") & (r["business"] != "")
+
+
 def ideograph_syllables(spark: SparkSession) -> dict[str, str]:
     """The syllable of each unified ideograph, by the ICU transliterator among Spark's own libraries.
 
@@ -275,7 +285,7 @@ def _exchanged(a: Column, b: Column) -> Column:
     return F.coalesce((F.length(a) == F.length(b)) & (F.size(at) == 2) & (j - i == 1) & crossed, F.lit(False))
 
 
-def close_names(groups: DataFrame, edits: int = MAX_EDITS, carried: tuple[str, ...] = ()) -> DataFrame:
+def close_names(groups: DataFrame, edits: int = MAX_EDITS, carried: tuple[str, ...] = (), across: str | None = None) -> DataFrame:
     """Pairs of different ``name``s of one ``business`` within the edits that their length allows.
 
     The budget is one edit for each ``LETTERS_PER_EDIT`` letters of the longer name
@@ -283,14 +293,17 @@ def close_names(groups: DataFrame, edits: int = MAX_EDITS, carried: tuple[str, .
     counts as one edit. A name too short for any edit is a name of its own: in it a letter tells
     institutions apart. ``groups`` has ``id, name, business``, each name once per business. Both directions
     come out: ``id, other`` and the ``carried`` columns of either, those of the other as ``other_*``.
+    With ``across``, a boolean column, only pairs that differ in it are looked for; rows that have null there pair among themselves.
     The distance is verified before anything else is shuffled.
     """
-    names = groups.select("id", "name", "business", *carried).withColumn("script", _script(F.col("name")))
-    index = names.select(F.col("id").alias("other"), F.col("name").alias("other_name"), "business", "script", *(F.col(c).alias(f"other_{c}") for c in carried), F.explode(_segments(F.col("name"), F.col("script"), edits, False)).alias("s"))
+    names = groups.select("id", "name", "business", *carried, (F.coalesce(F.col(across).cast("int"), F.lit(2)) if across else F.lit(2)).alias("side")).withColumn("script", _script(F.col("name")))
+    twice = (F.size(F.split("name", " ")) > 2) & (F.length("name") >= 2 * LETTERS_PER_EDIT) & F.lit(edits > 1)  # two edits may move two words: one is moved back here, one in the probe
+    index = names.withColumn("name", F.explode(F.when(twice, _moved(F.col("name"))).otherwise(F.array("name"))))
+    index = index.select(F.col("id").alias("other"), F.col("name").alias("other_name"), "business", "side", "script", *(F.col(c).alias(f"other_{c}") for c in carried), F.explode(_segments(F.col("name"), F.col("script"), edits, False)).alias("s"))
     index = index.select("*", "s.*").drop("s")
-    probe = names.withColumn("name", F.explode(_moved(F.col("name"))))
+    probe = names.withColumn("name", F.explode(_moved(F.col("name")))).withColumn("side", F.when(F.col("side") == 2, 2).otherwise(1 - F.col("side")))
     probe = probe.select("*", F.explode(_segments(F.col("name"), F.col("script"), edits, True)).alias("s")).select("*", "s.*").drop("s")
-    found = probe.join(index, ["business", "script", "length", "part", "segment"]).where(F.col("id") != F.col("other"))
+    found = probe.join(index, ["business", "side", "script", "length", "part", "segment"]).where(F.col("id") != F.col("other"))
     distance = F.levenshtein("name", "other_name", edits + 1)
     step = F.when(F.col("script") == "han", F.lit(HAN_LETTERS_PER_EDIT)).otherwise(F.lit(LETTERS_PER_EDIT))
     budget = F.least(F.lit(edits), F.floor(F.length("other_name") / step))
@@ -313,33 +326,33 @@ def link_names(names: DataFrame, column: str = "name") -> DataFrame:
     def read(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: [{"kind": k, "name": n, "business": b} for k, n, b in read_name(t)])
 
-    readings = shared_checkpoint(strings.select("name", "rows", read("name").alias("readings")).where(F.size("readings") > 0))
+    readings = shared_checkpoint(strings.select("name", "rows", F.array_distinct(read("name")).alias("readings")).where(F.size("readings") > 0))
     spell = ideograph_syllables(names.sparkSession)
     spell |= stated_syllables(readings, spell)
 
-    # one reading names a string; a second script of it is an alias
-    first = readings.select("name", "rows", F.element_at("readings", 1).alias("r")).select("name", "rows", "r.kind", F.col("r.name").alias("key"), "r.business")
-    first = first.withColumn("id", _sha("kind", "key", "business"))
-    groups = shared_checkpoint(first.groupBy("id", "kind", "key", "business").agg(F.count("*").alias("strings"), F.sum("rows").alias("rows")))
+    # one reading names a string, the first with a business if there is one; the others are aliases
+    readings = readings.withColumn("own", F.coalesce(F.get(F.filter("readings", _whole), F.lit(0)), F.get("readings", F.lit(0))))
+    own, r = F.col("own"), F.col("r")
+    first = readings.select("name", _id(own).alias("id"))
+    parts = readings.select("rows", "own", F.explode("readings").alias("r"))
+    groups = parts.groupBy("r").agg(F.count_if(r == own).alias("strings"), F.sum(F.when(r == own, F.col("rows")).otherwise(0)).alias("rows"))
+    groups = shared_checkpoint(groups.select(_id(r).alias("id"), "r.kind", F.col("r.name").alias("key"), "r.business", _whole(r).alias("whole"), r["name"].rlike(HAN.pattern).alias("han"), "strings", "rows"))
     full = groups.where("kind = 'name'")
-    is_han = F.col("key").rlike(HAN.pattern)
+    best = F.max_by("other", F.struct("strings", "rows", "other")).alias("other")
 
-    # a) misspellings
-    close = close_names(full.where("business != ''").select("id", F.col("key").alias("name"), "business", F.length("key").alias("letters"), "strings", "rows"), carried=("letters", "strings", "rows"))
-    typo = best_attested(close)
+    # a) stated in the string: all of these links count; an alias without a business may be that of several institutions and is placed last
+    further = parts.where(r != own).select(_id(r).alias("id"), _id(own).alias("other"), "own", "r").distinct()
+    stated = shared_checkpoint(further.where(_whole(r) | ~_whole(own)).select("id", "other", r["name"].rlike(HAN.pattern).alias("han"), own["name"].rlike(HAN.pattern).alias("other_han")))
+    nicknames = further.where(_whole(own) & (r["kind"] == "name") & (r["business"] == "")).select(F.col("other").alias("id"), F.lit("").alias("business"), F.col("r.name").alias("word"), F.lit("").alias("letter"))
 
-    # b) UTF-8 read as GBK
+    # b) UTF-8 read as GBK: of several names that are misread so, the best attested
     spoil = F.pandas_udf(lambda s: s.map(lambda t: sorted({misread(t), misread(without_tail(t))})), T.ArrayType(T.StringType()))
-    forms = readings.select("name", F.element_at("readings", 1).alias("r")).where(F.col("r.name").rlike(HAN.pattern))
-    forms = forms.select(_sha("r.kind", "r.name", "r.business").alias("other"), F.explode(spoil("name")).alias("key"))
-    spoilt = readings.where(F.col("name").rlike(HAN.pattern)).select(F.element_at("readings", 1).alias("r"), F.col("name").alias("key"))
-    spoilt = spoilt.select(_sha("r.kind", "r.name", "r.business").alias("id"), "key")
-    by_misreading = spoilt.join(forms, "key").select("id", "other")
-
-    # c) the other script: stated in the string, or spelt out
-    alias = readings.where("size(readings) > 1").select(F.col("readings").alias("rs"))
-    alias = alias.select(_sha(F.col("rs")[1]["kind"], F.col("rs")[1]["name"], F.col("rs")[1]["business"]).alias("id"), _sha(F.col("rs")[0]["kind"], F.col("rs")[0]["name"], F.col("rs")[0]["business"]).alias("other"))
+    forms = readings.where(own["name"].rlike(HAN.pattern)).select(_id(own).alias("other"), F.explode(spoil("name")).alias("key"))
+    spoilt = readings.where(F.col("name").rlike(HAN.pattern)).select(_id(own).alias("id"), F.col("name").alias("key"))
+    weights = groups.select(F.col("id").alias("other"), "strings", "rows")
+    by_misreading = spoilt.join(forms, "key").where("id != other").select("id", "other").distinct().join(weights, "other").groupBy("id").agg(best)
 
+    # c) the other script, spelt out: of several names that sound so, the best attested
     @F.pandas_udf(T.StringType())
     def spelt(keys: pd.Series) -> pd.Series:
         def one(k: str) -> str | None:
@@ -351,56 +364,136 @@ def link_names(names: DataFrame, column: str = "name") -> DataFrame:
 
         return keys.map(one)
 
-    han = full.where(is_han).select("id", spelt("key").alias("name"), "business").where("name is not null")
-    both = han.withColumn("spelt", F.lit(True)).unionByName(full.where(~is_han).select("id", F.col("key").alias("name"), "business").withColumn("spelt", F.lit(False)))
-    both = shared_checkpoint(both)
-    exact = both.where("not spelt").select("id", "name", "business").join(both.where("spelt").select(F.col("id").alias("other"), "name", "business"), ["name", "business"]).select("id", "other")
-    near = close_names(both, 1, ("spelt",)).where("not spelt and other_spelt").select("id", "other")  # syllables are few: one edit, however long
-
-    links = None
-    for frame, rank in ((by_misreading, 0), (alias, 0), (exact, 1), (typo, 2), (near, 3)):
-        frame = frame.select("id", "other", F.lit(rank).alias("rank"))
-        links = frame if links is None else links.unionByName(frame)
-    roots = _roots(links.where("id != other").groupBy("id").agg(F.min_by("other", F.struct("rank", "other")).alias("parent")))
-
-    # an initial for a name, or no business: the institution that fits, if one stands out
-    placed = shared_checkpoint(groups.join(roots, "id", "left").select("id", "kind", "key", "business", "strings", "rows", F.coalesce("root", "id").alias("root")))
-    sizes = placed.groupBy("root").agg(F.sum("strings").alias("s"), F.sum("rows").alias("r"))
+    both = full.where("han").select("id", spelt("key").alias("name"), "business", "strings", "rows", F.lit(True).alias("spelt")).where("name is not null")
+    both = shared_checkpoint(both.unionByName(full.where("not han").select("id", F.col("key").alias("name"), "business", "strings", "rows", F.lit(False).alias("spelt"))))
+    sounds = both.where("spelt").select(F.col("id").alias("other"), "name", "business", "strings", "rows")
+    exact = shared_checkpoint(both.where("not spelt").select("id", "name", "business").join(sounds, ["name", "business"]).groupBy("id").agg(best))
+
+    # what whole names offer to those with an initial or without a business, and what these ask for
     words = F.split("key", " ")
     few = F.size(words) <= SORTED_WORDS
-    named = placed.where("kind = 'name' and business != ''")
+    place = ["business", "word", "letter"]
+    heard = groups.where("whole").select("id", "key", "business").unionByName(both.where("spelt and business != ''").select("id", F.col("name").alias("key"), "business"))
     letters = F.transform(words, lambda w, i: F.struct(w.alias("word"), F.array_distinct(F.transform(F.filter(words, lambda _, k: k != i), lambda x: F.substring(x, 1, 1))).alias("rest")))
-    family = named.where(few & F.contains("key", F.lit(" "))).select("root", "business", F.explode(letters).alias("w")).select("root", "business", F.col("w.word").alias("word"), F.explode("w.rest").alias("letter"))
-    whole_names = named.select("root", F.lit("").alias("business"), F.col("key").alias("word"), F.lit("").alias("letter"))
-    offered = family.unionByName(whole_names).distinct().join(sizes, "root")
+    family = heard.where(few & F.contains("key", F.lit(" "))).select("id", "key", "business", F.explode(letters).alias("w")).select("id", "key", "business", F.col("w.word").alias("word"), F.explode("w.rest").alias("letter"))
+    offers = family.select("id", *place).unionByName(heard.select("id", F.lit("").alias("business"), F.col("key").alias("word"), F.lit("").alias("letter")))
+    offers = shared_checkpoint(offers.unionByName(nicknames).distinct())
+    shortened = groups.where((F.col("kind") == "initial") & few).select("id", "business", "strings", "rows", F.filter(words, lambda w: F.length(w) > 1).alias("long"), F.filter(words, lambda w: F.length(w) == 1).alias("short"))
+    asked = shortened.select("id", "business", F.explode(F.array_distinct("long")).alias("word"), "short").select("id", "business", "word", F.explode(F.array_distinct("short")).alias("letter"))
+    asked = asked.unionByName(full.where("business = ''").select("id", "business", F.col("key").alias("word"), F.lit("").alias("letter")))
+    heeded = shared_checkpoint(asked.join(offers, place, "left_semi").select("id").distinct())
+
+    # d) misspellings; a name that is known by the other script, or an abridged one that fits as it is, is none
+    sure = exact.select("id").unionByName(heeded).unionByName(stated.where("other_han and not han").select("id")).unionByName(stated.where("han and not other_han").select(F.col("other").alias("id")))
+    spellings = full.select("id", F.col("key").alias("name"), "business", "strings", "rows")
+    abridged = shortened.where("size(long) > 0").select("id", F.array_join("long", " ").alias("name"), F.concat_ws("\x1f", "business", F.array_join("short", " ")).alias("business"), "strings", "rows")
+    spellings = spellings.unionByName(abridged).join(sure.distinct().withColumn("sure", F.lit(True)), "id", "left").withColumn("sure", F.coalesce("sure", F.lit(False)))
+    unheeded = asked.join(heeded, "id", "left_anti")
+    spellings = spellings.unionByName(_counterparts(unheeded.select(*place).distinct(), offers.select(*place).distinct()), allowMissingColumns=True)
+    spellings = shared_checkpoint(spellings.withColumn("letters", F.length("name")))
+    close = shared_checkpoint(close_names(spellings, carried=("sure", "letters", "strings", "rows", "asking", "place"), across="asking"))
+    typo = best_attested(close.where("asking is null"))
+
+    links = stated.select("id", "other")
+    for frame in (by_misreading, exact, typo):
+        links = links.unionByName(frame.select("id", "other"))
+    placed = shared_checkpoint(groups.join(_components(links), "id", "left").withColumn("root", F.coalesce("root", "id")))
+
+    # e) for what has no name in ideographs, the best attested that is spelt nearly so: syllables are few, hence one edit, however long
+    latin = placed.groupBy("root").agg(F.max("han").alias("han")).where("not han").select("root")
+    near = close_names(both, 1, ("spelt", "strings", "rows"), "spelt").where("not spelt").select("id", "other", F.col("other_strings").alias("strings"), F.col("other_rows").alias("rows"))
+    near = near.join(placed.select("id", "root"), "id").join(latin, "root", "left_semi").groupBy("root").agg(best)
+    near = near.join(placed.select(F.col("id").alias("other"), F.col("root").alias("goal")), "other").select("root", "goal")
+    placed = placed.join(near, "root", "left").withColumn("root", F.coalesce("goal", "root"))
+    heads = placed.groupBy("root").agg(F.max_by("id", F.struct("strings", "rows", "id")).alias("head"), F.max("whole").alias("settled"), F.sum("strings").alias("s"), F.sum("rows").alias("r"))
+    placed = shared_checkpoint(placed.select("id", "root").join(heads, "root").select("id", F.col("head").alias("root"), "settled", "s", "r"))
+
+    # f) an initial for a name, or no business: the institution that fits, if one stands out
+    at = placed.select(F.col("id").alias("fit"), F.col("root").alias("found"), "s", "r")
+    offered = offers.withColumnRenamed("id", "fit").join(at, "fit").select(*place, "found", "s", "r").distinct()
     # of each key the two largest institutions are enough to see whether one stands out; Spark cuts each task's part to two before the shuffle
-    place = F.row_number().over(Window.partitionBy("business", "word", "letter").orderBy(F.desc("s"), F.desc("r"), "root"))
-    offered = offered.withColumn("place", place).where("place <= 2").drop("place")
-    shortened = groups.where((F.col("kind") == "initial") & few)
-    asked = shortened.select("id", "business", F.explode(F.filter(words, lambda w: F.length(w) > 1)).alias("word"), F.explode(F.array_distinct(F.filter(words, lambda w: F.length(w) == 1))).alias("letter"))
-    bare = full.where("business = ''").select("id", "business", F.col("key").alias("word"), F.lit("").alias("letter"))
-    fits = asked.unionByName(bare).join(offered, ["business", "word", "letter"]).groupBy("id", "root").agg(F.first("s").alias("s"), F.first("r").alias("r"))
-    rank = F.struct("s", "r", "root")
-    ends = fits.groupBy("id").agg(F.max_by("root", rank).alias("found"), F.max("s").alias("most"), F.sort_array(F.collect_list("s"), asc=False).alias("all"))  # two for each word of the name
-    found = ends.where("size(all) = 1 or most >= 2 * all[1]").select("id", "found")
-    whole = placed.join(found, "id", "left").select("id", F.when(F.col("root") == F.col("id"), F.coalesce("found", "root")).otherwise(F.col("root")).alias("institution"))
-    return first.select("name", "id").join(whole, "id").select("name", "institution")
+    offered = shared_checkpoint(_largest(offered, place))
+    by_word = asked.join(offered, place).select("id", "found", "s", "r", F.lit(1).alias("tier"))
+    by_all = suited(shortened, family).join(at, "fit").select("id", "found", "s", "r", F.lit(0).alias("tier"))
+    alike = unheeded.join(close.where("asking").select("place.*", "other_place"), place)
+    by_likeness = alike.select("id", "other_place.*").join(offered, place).select("id", "found", "s", "r", F.lit(2).alias("tier"))
+    fits = by_word.unionByName(by_all).unionByName(by_likeness).join(placed.where("not settled").select("id", "root"), "id")
+    fits = _largest(fits.select("root", "tier", "found", "s", "r").distinct(), ["root", "tier"])
+    ends = fits.groupBy("root", "tier").agg(F.max_by("found", F.struct("s", "r", "found")).alias("found"), F.count("*").alias("n"), F.max("s").alias("most"), F.min("s").alias("next"))
+    ends = ends.groupBy("root").agg(F.min_by(F.struct("found", "n", "most", "next"), "tier").alias("e")).where("e.n = 1 or e.most >= 2 * e.next").select("root", "e.found")
+    institutions = placed.join(ends, "root", "left").select("id", F.coalesce("found", "root").alias("institution"))
+    return first.join(institutions, "id").select("name", "institution")
+
+
+def _largest(found: DataFrame, by: list[str]) -> DataFrame:
+    """The two largest institutions ``found`` of each group."""
+    rank = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("s"), F.desc("r"), F.desc("found")))
+    return found.withColumn("place", rank).where("place <= 2").drop("place")
+
+
+def suited(shortened: DataFrame, family: DataFrame) -> DataFrame:
+    """``id, fit``: the names that have all words and initials of one with several of them, looked up by the rarest."""
+    place = ["business", "word", "letter"]
+    several = shortened.where("size(long) > 0 and size(long) + size(short) > 2")
+    keys = several.select("id", "business", "long", "short", F.explode("long").alias("word")).withColumn("letter", F.explode("short"))
+    counts = family.join(keys.select(*place).distinct(), place, "left_semi").groupBy(*place).count()
+    rarest = keys.join(counts, place).groupBy("id", "business", "long", "short").agg(F.min_by(F.struct("word", "letter"), F.struct("count", "word", "letter")).alias("k"))
+    both = rarest.select("id", "business", "long", "short", "k.word", "k.letter").join(family.withColumnRenamed("id", "fit"), place)
+    words = F.split("key", " ")
+    rest = F.transform(F.filter(words, lambda w: ~F.array_contains("long", w)), lambda w: F.substring(w, 1, 1))
+    enough = F.forall("short", lambda c: F.size(F.filter("short", lambda x: x == c)) <= F.size(F.filter(rest, lambda x: x == c)))
+    return both.where(F.forall("long", lambda w: F.array_contains(words, w)) & enough).select("id", "fit").distinct()
+
+
+def _counterparts(wanted: DataFrame, offered: DataFrame) -> DataFrame:
+    """Rows for ``close_names`` that find, for a ``place`` wanted, those offered with a misspelling of its word."""
+    offered = offered.join(wanted.select("business", "letter").distinct(), ["business", "letter"], "left_semi")
+    pool = wanted.withColumn("asking", F.lit(True)).unionByName(offered.withColumn("asking", F.lit(False)))
+    return pool.select(_sha("business", "word", "letter").alias("id"), F.col("word").alias("name"), F.concat_ws("\x1f", F.lit("?"), "business", "letter").alias("business"), "asking", F.struct("business", "word", "letter").alias("place"))
 
 
 def best_attested(close: DataFrame) -> DataFrame:
     """``id, other``: each misspelling with the best attested name in reach, by strings, then rows; what nothing surpasses has no row.
 
+    A name that is ``sure`` is no misspelling: it surpasses those that are not, and two of them are no pair.
     A pair counts if the longer name has ``SURE_LETTERS``; of shorter names, where one letter may tell two institutions apart,
     if the rarer is a stray (one or two strings) or half as well attested at most. Two steps are taken, as
     two misspellings of one name may be out of each other's reach.
     """
-    weight = lambda p="": F.struct(F.col(f"{p}strings").alias("strings"), F.col(f"{p}rows").alias("rows"), F.col("other" if p else "id").alias("id"))
+    weight = lambda p="": F.struct(F.col(f"{p}sure").alias("sure"), F.col(f"{p}strings").alias("strings"), F.col(f"{p}rows").alias("rows"), F.col("other" if p else "id").alias("id"))
     less, more = F.least("strings", "other_strings"), F.greatest("strings", "other_strings")
     told = (F.greatest("letters", "other_letters") >= SURE_LETTERS) | (less <= 2) | (more >= 2 * less)
-    edges = shared_checkpoint(close.where(told).select("id", "other", weight().alias("own"), weight("other_").alias("its")))
+    edges = close.where(told & ~(F.col("sure") & F.col("other_sure"))).select("id", "other", weight().alias("own"), weight("other_").alias("its"))
     step = edges.groupBy("id").agg(F.greatest(F.max("its"), F.max("own")).alias("best"))
-    two = edges.join(step.select(F.col("id").alias("other"), "best"), "other").groupBy("id").agg(F.max("best").alias("best"))
-    return two.select("id", F.col("best.id").alias("other")).where("id != other")
+    two = edges.join(step.select(F.col("id").alias("other"), "best"), "other").groupBy("id", "own").agg(F.max("best").alias("best"))
+    return two.where("id != best.id and not own.sure").select("id", F.col("best.id").alias("other"))
+
+
+def _components(links: DataFrame) -> DataFrame:
+    """``id, root`` of what ``id, other`` join, in either direction: all but some roots have a row.
+
+    One link of each ``id`` is followed to its end, which joins nearly all. Of the links that still lead from one root to
+    another, each root follows that to its least neighbour, if this is less, till none is left.
+    """
+    links = shared_checkpoint(links.select("id", "other").where("id != other").distinct())
+    found = _roots(links.groupBy("id").agg(F.min("other").alias("parent")))
+    ways = _between(links, found)
+    while not ways.isEmpty():
+        both = ways.unionByName(ways.select(F.col("other").alias("id"), F.col("id").alias("other")))
+        step = _roots(both.groupBy("id").agg(F.min("other").alias("parent")).where("parent < id"))
+        ways = _between(ways, step)
+        onward = step.select(F.col("id").alias("at"), F.col("root").alias("next"))
+        moved = found.where("id != root").join(onward, F.col("root") == F.col("at"), "left").select("id", F.coalesce("next", "root").alias("root"))
+        found = shared_checkpoint(moved.unionByName(step))
+    return found
+
+
+def _between(ways: DataFrame, roots: DataFrame) -> DataFrame:
+    """The links from one root to another, once each."""
+    onward = roots.select(F.col("id").alias("at"), F.col("root").alias("next"))
+    for end in ("id", "other"):
+        ways = ways.join(onward, F.col(end) == F.col("at"), "left").withColumn(end, F.coalesce("next", end)).drop("at", "next")
+    return shared_checkpoint(ways.where("id != other").distinct())
 
 
 def _roots(parent: DataFrame) -> DataFrame:

@@ -102,6 +102,45 @@ def test_short_names_and_well_attested_misspellings(spark):
     assert links(spark, [*a, *b, *c, *d, *e, *f]) == {frozenset(x) for x in (a, b, c, d, e, f)}
 
 
+def test_no_link_within_the_threshold_is_left_out(spark):
+    groups = [
+        ["Winterbourne Pemberlynne", "Winterborne Pemberlynne"],  # no business
+        ["Baven Renvasa Capital Management", "Baven Renvsa"],  # no business and misspelt
+        ["C. Norgildra Securities", "Norgildra C. Securities", "C. Norgilda Securities"], ["D. Norgildra Securities"],  # no whole name
+        ["Harrow Quenderling Capital", "H. Quenderlin Capital"],  # an initial, and misspelt
+        ["Nellen Kelna Vorsiquel Trust", "N. Kelna Vorsiquel Trust"], *([f"{w} Kelna Trust", f"{w} Kelna Trust Ltd"] for w in ("Nestor Hubrandal", "Noreen Fitzmorlay", "Ninian Cawderstone")),  # only one has all words
+        ["雁钧鹤芮证券 / Dawngate Securities / Morning Door Securities", "Morning Door Securities"],  # a third reading
+        ["沅珩瑜菁基金 / Brightwater Fund", "柏楠苓澜基金 / Brightwater Fund", "沅珩瑜菁基金", "柏楠苓澜基金"],  # two links of one kind
+        ["琅茗舒航银行 / Oakenshaw Bank", "琅茗舒航银行", "Oakenshaws Bank", "Oakenshaws Bank Ltd", "Oakenshaws Bank Inc"],  # links of two kinds
+        ["嘉澄瀚宇信托 / Silverlake Trust", "Silverlakes Trust"],  # a misspelling of what is stated only
+        ["Ferdal Mosquarin / 晟朗睿衡", "晟朗睿衡", "Ferdal Mosquarin", "Ferdal Mosquarin Futures"],  # an alias of what has no business
+    ]
+    assert links(spark, [name for group in groups for name in group]) == {frozenset(group) for group in groups}
+
+
+def test_two_edits_that_change_the_order_of_two_words(spark):
+    names = ["alder birch cedar", "aedar birch zlder", "alder birch cedar dogwood", "blder dirch cedar dogwood", "aedar birch zldes"]
+    got = {(r.id, r.other) for r in N.close_names(spark.createDataFrame([(n, n, "s") for n in names], "id string, name string, business string")).collect()}
+    assert got == {x for a, b in [(0, 1), (2, 3), (1, 4)] for x in [(names[a], names[b]), (names[b], names[a])]}
+
+
+def test_names_stated_to_be_two_stay_two(spark):
+    a, b = ["楠苓钧柏银行 / Nanling Junbo Bank", "楠苓钧柏银行"], ["南陵君伯银行 / Nanling Junbai Bank", "南陵君伯银行"]
+    assert links(spark, [*a, *b]) == {frozenset(a), frozenset(b)}
+
+
+def test_components(spark):
+    rng = random.Random(3)
+    pairs = [(f"{rng.random():.6f}", f"{rng.random():.6f}") for _ in range(30)] + [(f"z{i:02d}", f"z{(7 * i + 3) % 40:02d}") for i in range(40)] + [("hub", f"leaf{i}") for i in range(9)] + [("x", "x")]
+    want = {x: {x} for pair in pairs for x in pair}
+    for x, y in pairs:
+        both = want[x] | want[y]
+        for w in both:
+            want[w] = both
+    root = {r.id: r.root for r in N._components(spark.createDataFrame(pairs, "id string, other string")).collect()}
+    assert all({y for y in want if root.get(y, y) == root.get(x, x)} == want[x] for x in want)
+
+
 def test_pairs(spark):
     df = spark.createDataFrame([(f"n{i:03d}", "hot") for i in range(200)] + [("a", "one"), ("b", "two"), ("c", "two")], "name string, institution string")
     got = [(r.name_a, r.name_b) for r in N.name_pairs(df, block=16).collect()]
